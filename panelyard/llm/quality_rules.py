@@ -131,3 +131,38 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", least: int
         by = by.when(F.expr(score) > F.col(f"cut_{rule}"), rule)
     out = judged.withColumn("rejected_by", by).withColumn("kept", F.col("rejected_by").isNull())
     return out.select("doc_id", *COUNTS, "base_failed", "rejected_by", "kept", *(["row"] if keep else []))
+
+
+def sql(allowed: float = ALLOWED, error: float = ERROR, rules: dict = RULES) -> str:
+    """The default query as DuckDB SQL; the binomial tail is summed from log-gamma terms."""
+    rate = allowed / len(rules)
+    tests = " union all ".join(
+        f"select stratum, '{rule}' as rule, {i} as i, {cut}::double as cut, count(*) as n, count_if({score} > {cut})::bigint as k from held group by stratum"
+        for rule, (score, cuts) in rules.items() for i, cut in enumerate(cuts))
+    by = " ".join(f"when {score} > (select min(cut) from chosen x where x.stratum = c.stratum and x.rule = '{rule}') then '{rule}'" for rule, (score, _) in rules.items())
+    return f"""
+with d as (
+  select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as l,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from documents),
+places as (select doc_id, unnest(generate_series(1, len(l) - 2)) as i from d where len(l) >= 3),
+windows as (select p.doc_id, p.i, d.l[p.i:p.i + 2] as w from places p join d using (doc_id)),
+often as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, w) as n from windows) where n > 1),
+again as (select doc_id, count(distinct i + j) as n from often, (values (0), (1), (2)) as s(j) group by 1),
+counted as (
+  select d.doc_id, stratum, len(l)::bigint as n_words, len(array_to_string(l, ''))::bigint as word_chars,
+    len(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(again.n, 0)::bigint as n_repeat_words, len(regexp_replace(t, '[^!]', '', 'g'))::bigint as n_shouts, len(lines)::bigint as n_lines
+  from d left join again using (doc_id)),
+c as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted),
+held as (select * from c where not base_failed and doc_id in (select doc_id from labels group by 1 having min(quality) = 1)),
+tests as ({tests}),
+tails as (
+  select *, case when k >= n * {rate} then 1 else (
+    select sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}) + (n - j) * ln(1 - {rate}))) from (select unnest(generate_series(0, k)) as j)) end as p,
+    (select count(distinct stratum) from held) as strata from tests),
+chain as (select *, min((p <= {error} / {len(rules)} / strata)::int) over (partition by stratum, rule order by i) as holds from tails),
+chosen as (select * from chain where holds = 1)
+select *, rejected_by is null as kept from (
+  select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_shouts, n_lines, base_failed,
+    case when base_failed then 'base' {by} end as rejected_by from c)"""

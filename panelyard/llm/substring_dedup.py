@@ -259,3 +259,22 @@ def remove_repeats(docs: DataFrame, length: int = 50, render=text_of) -> DataFra
         order = [c for c in docs.columns if c != "n_removed"]
         return cut.select(*kept, *render.fields[0]).select(*[F.col(f"`{c}`") for c in order], "n_removed")
     return cut.select(*kept, *render.fields[0])
+
+
+def sql(length: int = 50) -> str:
+    """The query's digest as DuckDB SQL, over the windows themselves."""
+    return f"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as l from documents),
+starts as (select doc_id, l, unnest(generate_series(1, len(l) - {length - 1})) as i from d where len(l) >= {length}),
+windows as (select doc_id, i, array_to_string(l[i:i + {length - 1}], ' ') as w from starts),
+late as (
+  select doc_id, i from (select doc_id, i, min(doc_id) over (partition by w) as low from windows) where doc_id > low),
+gone as (select distinct doc_id, unnest(generate_series(i, i + {length - 1})) as i from late),
+marked as (select d.doc_id, t.i, d.l[t.i] as w, g.i is not null as gone
+  from (select doc_id, l, unnest(generate_series(1, len(l))) as i from d where len(l) > 0) t
+  join d using (doc_id) left join gone g on g.doc_id = t.doc_id and g.i = t.i),
+kept as (
+  select doc_id, count(*) as n, count_if(gone) as r, string_agg(w, ' ' order by i) filter (where not gone) as k from marked group by 1)
+select doc_id, coalesce(n, 0)::bigint as n_words, coalesce(r, 0)::bigint as n_removed, sha256(coalesce(k, '')) as kept_sha256
+from d left join kept using (doc_id)"""
