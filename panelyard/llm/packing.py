@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from ._shared import store
 from .ranking import rank_in_groups
 
-#: Words kept in a worker's cache of token ids.
-CACHE = 300_000
+#: Words, and runs of letters, kept in a worker's caches of token ids.
+CACHE, RUNS = 200_000, 600_000
 #: White space of Python that is none in the tokenizer's eyes; such texts are encoded as a whole.
 _ODD = re.compile("[\x1c-\x1f]")
 
@@ -35,8 +35,10 @@ class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes, one end id after each.
 
     A tokenizer of words with word ends never joins text across white space, so the ids
-    of a text are those of its words; words are encoded once each while the cache has
-    them.  Texts that hold the special tokens' marks are encoded as a whole.
+    of a text are those of its words.  Words are kept once met; a new one that is letters with
+    marks behind it takes the ids of its lower-cased letters and of the marks, and new runs of
+    letters are encoded many at a time.  Other words go to the tokenizer each by itself, and
+    texts that hold the special tokens' marks as a whole.
     """
 
     def __init__(self, path: str, end: int = 0):
@@ -45,11 +47,41 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.end = np.uint32(end).tobytes()
         self.known: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {"": b""}
         self.marks = [t.content for t in self.tok.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _learn(self, runs: list[str]) -> None:
+        """Ids of different lower-case runs of letters, each one word to the tokenizer."""
+        for at in range(0, len(runs), 4096):
+            part = runs[at:at + 4096]
+            e = self.tok.encode(" ".join(part), add_special_tokens=False)
+            ids, cut = np.array(e.ids, "<u4"), np.flatnonzero(np.diff(np.array(e.word_ids, np.int64))) + 1
+            if len(cut) + 1 == len(part):
+                raw, ends = ids.tobytes(), [0, *(4 * cut).tolist(), 4 * len(ids)]
+                self.runs.update((r, raw[i:j]) for r, i, j in zip(part, ends, ends[1:], strict=False))
+            else:
+                self.runs.update((r, self.whole(r)) for r in part)
+
+    def _meet(self, new: set[str]) -> None:
+        runs, simple = self.runs, []
+        if len(runs) > RUNS:
+            runs.clear()
+            runs[""] = b""
+        for w in new:
+            letters = w.rstrip(".,;:!?|")
+            low = letters.lower()
+            if low.isalpha() and "Σ" not in letters:
+                simple.append((w, low, w[len(letters):]))
+            else:
+                self.known[w] = self.whole(w)
+        self._learn(list({low for _, low, _ in simple}.difference(runs)))
+        for tail in {tail for _, _, tail in simple}.difference(runs):
+            runs[tail] = self.whole(tail)
+        self.known.update((w, runs[low] + runs[tail]) for w, low, tail in simple)
+
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return self.end
@@ -58,10 +90,9 @@ class Encoder:
         found, known = text.split(), self.known
         if len(known) > CACHE:
             known.clear()
-        new = list(set(found).difference(known))
+        new = set(found).difference(known)
         if new:
-            for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            self._meet(new)
         return b"".join(map(known.__getitem__, found)) + self.end
 
 
