@@ -1,0 +1 @@
+"""Column functions: conversions, domain derivations and entity windows."""
