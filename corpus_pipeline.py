@@ -14,14 +14,9 @@ from panelyard.llm import mixing, packing, quality_rules, simhash, substring_ded
 from panelyard.llm._shared import store, table
 
 
-def _row(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.select(*[F.col(f"row.`{c}`").alias(c) for c in names])
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"), keep=True)
-    return _row(judged.filter("kept"), docs.columns)
+    return quality_rules.kept(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +40,7 @@ def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    mixed = mixing.mix(docs, keep=True).filter("times > 0")
-    return _row(mixed.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("times")))), docs.columns)
+    return mixing.taken(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

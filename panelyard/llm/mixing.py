@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import store, words
@@ -122,7 +122,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), seed: int = 17,
     """doc_id, size, source_size, target and taken (words the mix takes) for every row.
 
     size: the text's number of words; null text has 0 and takes none.  With
-    ``keep`` also ``row``, the whole row as a struct.  taken is a multiple of size, 0 to 3
+    ``keep`` also ``row_key``, a hash of the whole row, and ``times``.  taken is a multiple of size, 0 to 3
     times.  Documents of no words take 0; a source of no words has target 0.
     Rows that are equal in every respect may stand in for one another.
     """
@@ -130,10 +130,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), seed: int = 17,
         return _fitted(rows, seed, capacity)
 
     size = F.size(words(F.col("text").cast("string"))).cast("long").alias("size")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    cols = ["doc_id", F.col("source").cast("string").alias("source"), size]
-    sized = docs.select(*cols, *([row.alias("row")] if keep else []))
-    sized = store(sized.withColumn("h", F.xxhash64(F.lit(seed), "doc_id")), "sizes")
+    cols = ["doc_id", F.col("source").cast("string").alias("source"), size, *([row_key(docs)] if keep else [])]
+    sized = store(docs.select(*cols).withColumn("h", F.xxhash64(F.lit(seed), "doc_id")), "sizes")
     histogram = store(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
     goal = store(targets(histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights), "targets")
     same = histogram["source"].eqNullSafe(goal["source"])
@@ -148,4 +146,26 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), seed: int = 17,
         ranked.join(q, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left")
         .join(g, F.col("source").eqNullSafe(F.col("_gs")), "left")
         .select("doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"),
-                *(["row", times.cast("int").alias("times")] if keep else [])))
+                *(["row_key", times.cast("int").alias("times")] if keep else [])))
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A hash of the whole row."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_key")
+
+
+def taken(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them.
+
+    Texts move once, next to their number of times.  Rows that are equal in every respect meet there: one of
+    them stands for all.
+    """
+    found = mix(docs, keep=True, **options).groupBy("doc_id", "row_key").agg(F.sum("times").alias("_times"), F.count("*").alias("_rows"))
+    found = store(found.filter("_times > 0").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "_times", "_rows"), "times")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (row_key(docs) == F.col("_key"))
+    joined = docs.join(found.hint("shuffle_hash"), same).select(*cols, "_times", "_rows")
+    several = found.filter("_rows > 1")
+    if not several.isEmpty():
+        joined = joined.filter("_rows = 1").union(joined.filter("_rows > 1").dropDuplicates())
+    return joined.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*cols)

@@ -111,26 +111,39 @@ def cutoffs(counted: DataFrame, labels: DataFrame, allowed: float = ALLOWED, err
         F.min(F.when((F.col("t.rule") == rule) & (F.col("holds") == 1), F.col("t.cut"))).alias(f"cut_{rule}") for rule in rules])
 
 
+def row_key(stratum: str = "lang") -> Column:
+    """A hash of all that the verdict looks at."""
+    return F.xxhash64(F.col("text").cast("string"), F.col(stratum).cast("string")).alias("row_key")
+
+
+def kept(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, as they are.  Texts move once, next to the keys of rejected rows."""
+    gone = store(judge(docs, labels, stratum, keep=True, **options).filter("not kept").select(
+        F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).distinct(), "rejected")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (row_key(stratum) == F.col("_key"))
+    return docs.join(gone.hint("shuffle_hash"), same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", least: int = 50, repeats: int = 50, keep: bool = False,
           allowed: float = ALLOWED, error: float = ERROR, rules: dict = RULES) -> DataFrame:
-    """doc_id, the counts, base_failed, rejected_by and kept for every row of ``docs``; with ``keep`` also ``row``, the whole row.
+    """doc_id, the counts, base_failed, rejected_by and kept for every row of ``docs``; with ``keep`` also ``row_key``.
 
     base_failed: fewer than ``least`` words, or more than ``repeats`` per cent of them in
     repeated windows.  rejected_by names the first rule above its cutoff, ``base``, or is null.  A null
     stratum is one of its own; null or empty texts fail the base; repeated rows stay; labels
     of unknown documents are ignored, and a document is good if all its labels say 1.
+    row_key: see ``row_key``; rows that share it and the doc_id have one verdict.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "text", *([row] if keep else []))
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "text", *([row_key(stratum)] if keep else []))
     failed = (F.col("n_words") < least) | (F.col("n_repeat_words") * 100 > F.col("n_words") * repeats)
-    counted = store(counts(held, ["row"] if keep else []).withColumn("base_failed", failed), "counts")
+    counted = store(counts(held, ["row_key"] if keep else []).withColumn("base_failed", failed), "counts")
     found = store(cutoffs(counted, labels, allowed, error, rules), "cutoffs")
     judged = counted.join(found.withColumnRenamed("stratum", "_stratum"), F.col("stratum") == F.col("_stratum"), "left")
     by = F.when(F.col("base_failed"), "base")
     for rule, (score, _) in rules.items():
         by = by.when(F.expr(score) > F.col(f"cut_{rule}"), rule)
     out = judged.withColumn("rejected_by", by).withColumn("kept", F.col("rejected_by").isNull())
-    return out.select("doc_id", *COUNTS, "base_failed", "rejected_by", "kept", *(["row"] if keep else []))
+    return out.select("doc_id", *COUNTS, "base_failed", "rejected_by", "kept", *(["row_key"] if keep else []))
 
 
 def sql(allowed: float = ALLOWED, error: float = ERROR, rules: dict = RULES) -> str:

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -20,7 +22,10 @@ def slow_targets(sizes, weights=(1, 2, 3), most=3):
 
 def check(docs, slack=0.5):
     got = [r.asDict() for r in mixing.mix(docs, keep=True).collect()]
-    rows = docs.select("doc_id", "source", "text").collect()
+    rows = docs.select("doc_id", "source", "text", mixing.row_key(docs)).collect()
+    by_key = {(r.doc_id, r.row_key): r for r in rows}
+    for r in got:
+        r["row"] = by_key[r["doc_id"], r["row_key"]].asDict()
     assert len(got) == len(rows)
     sizes = {}
     for r in rows:
@@ -37,6 +42,10 @@ def check(docs, slack=0.5):
             largest[s] = max(largest.get(s, 0), r["size"])
     for s, t in taken.items():
         assert abs(t - want[s]) <= max(1, slack * largest.get(s, 0))
+    texts = Counter()
+    for r in got:
+        texts[r["doc_id"], r["row"]["text"]] += r["times"]
+    assert +texts == Counter((r.doc_id, r.text) for r in mixing.taken(docs).collect())
     again = sorted(map(str, mixing.mix(docs.repartition(3)).select("doc_id", "taken").collect()))
     assert again == sorted(f"Row(doc_id={r['doc_id']}, taken={r['taken']})" for r in got)
 

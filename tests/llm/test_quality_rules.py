@@ -23,6 +23,9 @@ def check(docs, labels):
     got = Q.judge(docs, labels).collect()
     assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got), key=str) == rows
     assert all(not (r.base_failed and r.kept) and r.kept == (r.rejected_by is None) for r in got)
+    left = Q.kept(docs, labels)
+    assert left.columns == docs.columns
+    assert sorted(map(str, [r.doc_id for r in left.collect()])) == sorted(str(r.doc_id) for r in got if r.kept)
     return got
 
 
