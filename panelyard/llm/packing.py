@@ -12,10 +12,11 @@ within their length and look their place up.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +26,21 @@ from pyspark.sql import functions as F
 from ._shared import store
 from .ranking import rank_in_groups
 
-#: Words, and runs of letters, kept in a worker's caches of token ids.
-CACHE, RUNS = 200_000, 600_000
-#: White space of Python that is none in the tokenizer's eyes; such texts are encoded as a whole.
-_ODD = re.compile("[\x1c-\x1f]")
+#: Pre-tokens kept in a worker's cache of token ids.
+CACHE = 700_000
+#: Characters for which Python's lower-casing and classes are the tokenizer's: Latin letters, composed, and common marks.
+_PLAIN = re.compile("[\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027\u20ac]*")
+#: The tokenizer's own cut of a text, on such characters: contractions, letters, single digits, marks.
+_CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 
 
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes, one end id after each.
 
-    A tokenizer of words with word ends never joins text across white space, so the ids
-    of a text are those of its words.  Words are kept once met; a new one that is letters with
-    marks behind it takes the ids of its lower-cased letters and of the marks, and new runs of
-    letters are encoded many at a time.  Other words go to the tokenizer each by itself, and
-    texts that hold the special tokens' marks as a whole.
+    The tokenizer cuts lower-cased text into runs of letters, digits or marks and encodes
+    each by itself; so does this, keeping the runs it has met and encoding new ones many at
+    a time.  Texts with other characters than Latin ones, or with the special tokens' marks,
+    go to the tokenizer as a whole.
     """
 
     def __init__(self, path: str, end: int = 0):
@@ -47,60 +49,49 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.end = np.uint32(end).tobytes()
         self.known: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {"": b""}
         self.marks = [t.content for t in self.tok.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, runs: list[str]) -> None:
-        """Ids of different lower-case runs of letters, each one word to the tokenizer."""
+        """Ids of different runs, each one word to the tokenizer."""
+        if len(self.known) > CACHE:
+            self.known.clear()
         for at in range(0, len(runs), 4096):
             part = runs[at:at + 4096]
             e = self.tok.encode(" ".join(part), add_special_tokens=False)
             ids, cut = np.array(e.ids, "<u4"), np.flatnonzero(np.diff(np.array(e.word_ids, np.int64))) + 1
             if len(cut) + 1 == len(part):
                 raw, ends = ids.tobytes(), [0, *(4 * cut).tolist(), 4 * len(ids)]
-                self.runs.update((r, raw[i:j]) for r, i, j in zip(part, ends, ends[1:], strict=False))
+                self.known.update((r, raw[i:j]) for r, i, j in zip(part, ends, ends[1:], strict=False))
             else:
-                self.runs.update((r, self.whole(r)) for r in part)
-
-    def _meet(self, new: set[str]) -> None:
-        runs, simple = self.runs, []
-        if len(runs) > RUNS:
-            runs.clear()
-            runs[""] = b""
-        for w in new:
-            letters = w.rstrip(".,;:!?|")
-            low = letters.lower()
-            if low.isalpha() and "Σ" not in letters:
-                simple.append((w, low, w[len(letters):]))
-            else:
-                self.known[w] = self.whole(w)
-        self._learn(list({low for _, low, _ in simple}.difference(runs)))
-        for tail in {tail for _, _, tail in simple}.difference(runs):
-            runs[tail] = self.whole(tail)
-        self.known.update((w, runs[low] + runs[tail]) for w, low, tail in simple)
+                self.known.update((r, self.whole(r)) for r in part)
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return self.end
-        if _ODD.search(text) or any(m in text for m in self.marks):
+        if not _PLAIN.fullmatch(text) or any(m in text for m in self.marks):
             return self.whole(text) + self.end
-        found, known = text.split(), self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = set(found).difference(known)
-        if new:
-            self._meet(new)
-        return b"".join(map(known.__getitem__, found)) + self.end
+        found, known = _CUT.findall(text.lower()), self.known
+        ids = list(map(known.get, found))
+        if None in ids:
+            new = [i for i, x in enumerate(ids) if x is None]
+            self._learn(list({found[i] for i in new}))
+            for i in new:
+                ids[i] = known[found[i]]
+        return b"".join(ids) + self.end
+
+
+@lru_cache(1)
+def _encoder(path: str, end: int) -> Encoder:
+    """A worker's encoder, with what it met in earlier tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path, end)
 
 
 def _pieces(batches, path, limit, end):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    encode = Encoder(path, end)
+    encode = _encoder(path, end)
     for batch in batches:
         row, piece, start, length, crc = [], [], [], [], []
         for i, text in enumerate(batch.column(1)):
