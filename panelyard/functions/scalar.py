@@ -112,6 +112,11 @@ def status(months: Column, zero_code: Column, default_months: int = C.DEFAULT_MO
     }
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 _LIMB = (1 << 22) - 1
 
 
@@ -129,15 +134,22 @@ def _times(x: Column, factor: int) -> Column:
 def hash_bucket(entity: Column, salt: str) -> Column:
     """A stable bucket in [0, 1000000) for an entity id: the SplitMix64 finaliser over id plus CRC-32 of the salt.
 
-    Ids that are no non-negative integers count as 0.
+    Ids that are no non-negative integers count as 0.  Each step is bound once, so the expression stays small.
     """
+    def folded(shift: int):
+        return lambda x: x.bitwiseXOR(F.shiftrightunsigned(x, shift))
+
+    def times(factor: int):
+        return lambda x: _times(x, factor)
+
+    def bucket(x):
+        return (F.shiftrightunsigned(x, 1) % 500_000 * 2 + x.bitwiseAND(F.lit(1))) % 1_000_000
+
     x = F.coalesce(F.trim(entity.cast("string")).try_cast("long"), F.lit(0).cast("long")) + F.lit(zlib.crc32(salt.encode())).cast("long")
-    # Multipliers of SplitMix64.
-    x = _times(x.bitwiseXOR(F.shiftrightunsigned(x, 30)), 0xBF58476D1CE4E5B9)
-    x = _times(x.bitwiseXOR(F.shiftrightunsigned(x, 27)), 0x94D049BB133111EB)
-    x = x.bitwiseXOR(F.shiftrightunsigned(x, 31))
-    half = F.shiftrightunsigned(x, 1) % 500_000
-    return (half * 2 + x.bitwiseAND(F.lit(1))) % 1_000_000
+    # Shifts and multipliers of SplitMix64.
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = let(let(x, folded(shift)), times(factor))
+    return let(let(x, folded(31)), bucket)
 
 
 def sampled(entity: Column, rate: float, salt: str) -> Column:

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelyard.functions import scalar as S
-from panelyard.operators import clean, features, ingest, labels, rules
+from panelyard.operators import anomaly, clean, explain, features, ingest, labels, metrics, models, profile, rules, scenario, segments, serve, survival
 from panelyard.plans import contract as C
 from panelyard.plans.oracle import chain
 from panelyard.plans.panel import TEST_YEARS, dense
 from panelyard.sources import testdata
+from panelyard.streaming import runs as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -240,3 +241,412 @@ _AUDITED = ["credit_score", "days_past_due", "loan_utilization", "credit_risk_sc
   {' union all '.join(f"select '{c}' as feature, count(*) filter (where a = b) as n_same, count(*) filter (where a is not null and b is not null) as n_pairs from (select {c} as a, lead({c}) over (partition by loan_id order by reporting_month) as b from ft)" for c in _AUDITED)})""", "ft"))
 def leakage_audit(spark, sf):
     return rounded(features.leakage_audit(dense(spark, sf).features, _AUDITED))
+
+
+# Joins, windows and segments.
+
+
+@query(chain(f"""select {KEY}, round(servicer_delinquency_rate, 6) as servicer_delinquency_rate, servicer_name, servicer_records from (
+  select loan_id, reporting_month, servicer_name, avg(delinquency::int) over w as servicer_delinquency_rate, count(*) over w as servicer_records from mo window w as (partition by servicer_name, reporting_month))""", "mo"))
+def servicer_features(spark, sf):
+    return rounded(segments.servicer_features(dense(spark, sf).monthly))
+
+
+_SEG = " union all ".join(f"""select '{s}' as segment, {s}::varchar as value, count(*) as n_records, count(distinct loan_id) as n_entities, sum(current_balance::decimal(20, 2))::double as sum_balance,
+  round(avg(delinquency::int), 6) as delinquency_rate, round(avg(default_flag::int), 6) as default_rate, round(avg(prepayment_flag::int), 6) as prepayment_rate from pn group by 2""" for s in ("vintage_year", "credit_score_band", "state", "servicer_name"))
+
+
+@query(chain(_SEG, "pn"))
+def segment_aggregates(spark, sf):
+    return rounded(segments.segments(dense(spark, sf).joined))
+
+
+@query(chain(f"select * from (select *, (row_number() over (partition by segment order by n_records desc, value nulls first))::int as rank from ({_SEG})) where rank <= 12", "pn"))
+def segment_top(spark, sf):
+    return rounded(segments.top_segments(dense(spark, sf).joined))
+
+
+@query(chain("""select from_state, to_state, n, round(n / sum(n) over (partition by from_state), 6) as share from (
+  select current_status as from_state, nxt as to_state, count(*) as n from (select current_status, lead(current_status) over (partition by loan_id order by reporting_month) as nxt from mo) where nxt is not null group by 1, 2)""", "mo"))
+def state_transitions(spark, sf):
+    return rounded(segments.transitions(dense(spark, sf).monthly))
+
+
+@query(chain("""select loan_id, reporting_month, current_status, current_balance from (select *, row_number() over (partition by loan_id order by reporting_month desc) as r from cl) where r = 1""", "cl"))
+def latest_row(spark, sf):
+    return segments.latest(dense(spark, sf).clean.select("loan_id", "reporting_month", "current_status", "current_balance"))
+
+
+@query(chain("""select q.loan_id, q.as_of, reporting_month, current_status, current_balance from (select loan_id, date '1998-06-15' as as_of from st) q
+  asof left join cl on cl.loan_id = q.loan_id and cl.reporting_month <= q.as_of""", "cl"))
+def as_of_join(spark, sf):
+    p = dense(spark, sf)
+    return segments.as_of(p.clean, p.static.select("loan_id", F.lit("1998-06-15").cast("date").alias("as_of")))
+
+
+_TREND = "select {k} reporting_month, count(*) as n_records, avg(delinquency::int) as d from pn group by {g} reporting_month"
+
+
+@query(chain(f"""select reporting_month, n_records, round(d, 6) as delinquency_rate, round(d - lag(d) over (order by reporting_month), 6) as change from ({_TREND.format(k='', g='')})""", "pn"))
+def portfolio_trend(spark, sf):
+    return rounded(segments.trends(dense(spark, sf).joined))
+
+
+@query(chain(f"""select state, reporting_month, n_records, round(d, 6) as delinquency_rate, round(d - lag(d) over (partition by state order by reporting_month), 6) as change from ({_TREND.format(k='state,', g='state,')})""", "pn"))
+def segment_trend(spark, sf):
+    return rounded(segments.trends(dense(spark, sf).joined, "state"))
+
+
+@query(chain("""select reporting_month, round(q, 6) as dq_score, round(e, 6) as exception_rate, round(q - lag(q) over (order by reporting_month), 6) as change, coalesce(q - lag(q) over (order by reporting_month) < -1, false) as alert
+  from (select reporting_month, avg(greatest(100 - dq_penalty, 0)) as q, avg((dq_penalty > 0)::int) as e from ru group by 1)""", "ru"))
+def quality_trend(spark, sf):
+    return rounded(segments.quality_trend(dense(spark, sf).ruled, 1.0))
+
+
+@query(chain("""select loan_id, at, kind, detail from (
+  select loan_id, reporting_month as at, 'status' as kind, current_status as detail from ru where prev_status is null or prev_status <> current_status
+  union all select loan_id, last_updated_on, 'feed', feed_status from fd union all select loan_id, reporting_month, 'exception', exception_type from ru where exception_type is not null)""".replace(" at,", ' "at",').replace("as at", 'as "at"'), "ru"))
+def loan_timeline(spark, sf):
+    p = dense(spark, sf)
+    return segments.timeline(p.ruled, p.feed)
+
+
+# Profiles.
+
+_PROFILED = ("CHANNEL", "PURPOSE", "STATE", "CSCORE_B", "DLQ_STATUS", "Zero_Bal_Code")
+_RAW_SQL = {
+    "CHANNEL": "['R', 'C', 'B', 'X'][(k % 4) + 1]", "PURPOSE": "['P', 'C', 'R', 'U', ''][(k % 5) + 1]", "STATE": "['', 'TX', 'CA', 'NY', 'FL', 'OH', 'WA', 'IL'][(k % 8) + 1]",
+    "CSCORE_B": "case when k % 13 = 0 then '' else (500 + k * 37 % 351)::varchar end", "DLQ_STATUS": "case when (k + mi) % 11 = 0 then 'XX' else lpad(greatest(0, x)::varchar, 2, '0') end", "Zero_Bal_Code": "code"}
+
+
+@query(chain(f"""select idx, "column", sum(n)::bigint as n, round(sum(case when v <> '' then n else 0 end) / sum(n), 6) as fill_rate, count(*) filter (where v <> '') as n_distinct,
+  coalesce(string_agg(v, ',' order by r) filter (where v <> '' and r <= 3), '') as examples, coalesce(min(len(v)) filter (where v <> ''), 0)::int as min_len, max(len(v))::int as max_len from (
+  select *, row_number() over (partition by idx, v <> '' order by n desc, v) as r from (select idx, "column", v, count(*) as n from (
+    {' union all '.join(f"select {i} as idx, '{c}' as " + '"column"' + f", {_RAW_SQL[c]} as v from b" for i, c in enumerate(_PROFILED))}) group by 1, 2, 3)) group by 1, 2""", "b"))
+def column_profile(spark, sf):
+    return rounded(profile.columns(testdata.raw_panel(spark, sf), list(_PROFILED)))
+
+
+@query()
+def column_profile_approximate(spark, sf):
+    return profile.columns(testdata.raw_panel(spark, sf), list(_PROFILED), approximate=True)
+
+
+@query(chain("select state as value, count(*) as n from st group by 1 order by n desc, value nulls first limit 20", "st"))
+def value_counts(spark, sf):
+    return profile.value_counts(dense(spark, sf).static, "state")
+
+
+@query(chain("""select "column", period, n, n_missing, round(n_missing / n, 6) as missing_rate, round(n_missing / n - lag(n_missing / n) over (partition by "column" order by period), 6) as change from (
+  select 'dlq_months' as "column", reporting_month as period, count(*) as n, count(*) filter (where dlq_months is null) as n_missing from mo group by 2
+  union all select 'last_upb', reporting_month, count(*), count(*) filter (where last_upb is null) from mo group by 2)""", "mo"))
+def missingness(spark, sf):
+    return rounded(profile.missingness(dense(spark, sf).monthly, ["dlq_months", "last_upb"], "reporting_month"))
+
+
+_CORR = [("credit_score", "ltv"), ("credit_score", "dti"), ("credit_score", "original_balance"), ("ltv", "dti"), ("ltv", "original_balance"), ("dti", "original_balance")]
+
+
+@query(chain(" union all ".join(f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 6) as corr from st" for a, b in _CORR), "st"))
+def correlations(spark, sf):
+    return rounded(profile.correlations(dense(spark, sf).static, ["credit_score", "ltv", "dti", "original_balance"]))
+
+
+@query(chain("""select max(n)::bigint as n, round(sqrt(greatest(sum(o::double * o / (ra::double * rb)) - 1, 0) / nullif(least(count(distinct a), count(distinct b)) - 1, 0)), 6) as cramers_v from (
+  select *, sum(o) over (partition by a) as ra, sum(o) over (partition by b) as rb, sum(o) over () as n from (select current_status as a, servicer_name as b, count(*) as o from mo group by 1, 2))""", "mo"))
+def cramers_v(spark, sf):
+    return rounded(profile.cramers_v(dense(spark, sf).monthly, "current_status", "servicer_name"))
+
+
+@query("""select (case when o_totalprice < 1000 then 0 when o_totalprice >= 400000 then 21 else floor((o_totalprice - 1000) / 19950) + 1 end)::int as bin, count(*) as n from orders group by 1""")
+def histogram(spark, sf):
+    return profile.histogram(testdata.table(spark, sf, "orders"), "o_totalprice", 1000, 400000, 20)
+
+
+@query("""with q as (select quantile_cont(o_totalprice, 0.25) as a, quantile_cont(o_totalprice, 0.75) as b from orders)
+select o_orderkey, 'o_totalprice' as feature, o_totalprice as value from orders, q where o_totalprice < a - 0.2 * (b - a) or o_totalprice > b + 0.2 * (b - a)""")
+def iqr_outliers(spark, sf):
+    return profile.outliers(testdata.table(spark, sf, "orders"), ["o_totalprice"], ["o_orderkey"], 0.2)
+
+
+@query(chain(f"select {KEY}, case when reporting_month > date '2001-06-01' then 'after_cutoff' else 'before_range' end as problem from mo where reporting_month < date '1995-03-01' or reporting_month > date '2001-06-01'", "mo"))
+def date_checks(spark, sf):
+    return profile.date_checks(dense(spark, sf).monthly, "1995-03-01", "2001-06-01")
+
+
+@query(chain(f"""select loan_id, original_balance, coalesce(dti, m) as dti, dti is null as dti_imputed from st left join (select state, median(dti) as m from st group by 1) using (state)""", "st"))
+def segment_imputation(spark, sf):
+    return clean.impute_by_segment(dense(spark, sf).static.select("loan_id", "original_balance", "dti", "state"), "dti", "state").drop("state")
+
+
+# Evaluation: a score with ties against the three-month delinquency label.
+
+_SCORED = "scored as (select loan_id, reporting_month, state, next_3m_delinquency_flag as label, ((850 - coalesce(credit_score, 600)) + least(dpd_max_12m, 360)) / 1000 as score, days_past_due, current_balance, loan_age_months, split from sp where next_3m_delinquency_flag_complete = 1)"
+
+
+def _scored(spark, sf):
+    rows = dense(spark, sf).split(**TEST_YEARS).filter("next_3m_delinquency_flag_complete = 1")
+    return rows.withColumn("score", ((850 - F.coalesce("credit_score", F.lit(600.0))) + F.least("dpd_max_12m", F.lit(360.0))) / 1000).withColumn("label", F.col("next_3m_delinquency_flag"))
+
+
+def _evaluated(select: str) -> str:
+    curve = """curve as (select *, sum(pos) over (order by score desc) as tp, sum(neg) over (order by score desc) as fp, sum(pos) over () as p, sum(neg) over () as n from (
+      select score, sum(label) as pos, sum(1 - label) as neg from scored group by 1)),
+    rates as (select *, tp / (tp + fp) as prec, tp / p as rec, coalesce(2 * (tp / (tp + fp)) * (tp / p) / nullif(tp / (tp + fp) + tp / p, 0), 0) as f1, greatest(1, floor((p + n) * 0.1)) as k from curve)"""
+    return chain("", "sp") + f", {_SCORED}, {curve}\n{select}"
+
+
+@query(_evaluated("""select round(sum(pos * (n - fp + neg / 2) / (p * n)), 6) as roc_auc, round(sum(pos / p * prec), 6) as pr_auc, round(max(abs((tp - pos) / p - (fp - neg) / n)), 6) as ks,
+  round(sum(greatest(0, least(pos + neg, k - (tp + fp - pos - neg))) * pos / (pos + neg) / k / (p / (p + n))), 6) as lift_top, round(max(f1), 6) as f1,
+  round((select score from rates order by f1 desc, score limit 1), 6) as threshold from rates"""))
+def ranking_metrics(spark, sf):
+    return rounded(metrics.ranking(_scored(spark, sf)))
+
+
+@query(_evaluated(" union all ".join(f"select {f}::double as min_precision, round(rec, 6) as recall, round(prec, 6) as precision, round(score, 6) as threshold from (select * from (select rec, prec, score from rates where prec >= {f} order by rec desc, score limit 1) union all select 0, (select max(prec) from rates), 1 where not exists (select 1 from rates where prec >= {f}))" for f in (0.05, 0.1, 0.3))))
+def recall_at_precision(spark, sf):
+    return rounded(metrics.recall_at_precision(_scored(spark, sf), (0.05, 0.1, 0.3)))
+
+
+@query(_evaluated("""select count(*) as n, sum(label)::bigint as n_positive, round(avg(label), 6) as base_rate, round(avg((label - score) ** 2), 6) as brier,
+  round(avg(-(label * ln(least(greatest(score, 1e-7), 1 - 1e-7)) + (1 - label) * ln(1 - least(greatest(score, 1e-7), 1 - 1e-7)))), 6) as log_loss, round(1 - avg((label - score) ** 2) / (avg(label) * (1 - avg(label))), 6) as brier_skill from scored"""))
+def error_metrics(spark, sf):
+    return rounded(metrics.errors(_scored(spark, sf)))
+
+
+@query(_evaluated("""select tp, fp, fn, tn, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) as precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) as recall, round((tp + tn) / (tp + fp + fn + tn), 6) as accuracy from (
+  select count(*) filter (where score >= 0.3 and label = 1) as tp, count(*) filter (where score >= 0.3 and label = 0) as fp, count(*) filter (where score < 0.3 and label = 1) as fn, count(*) filter (where score < 0.3 and label = 0) as tn from scored)"""))
+def confusion_counts(spark, sf):
+    return rounded(metrics.confusion(_scored(spark, sf), 0.3))
+
+
+@query(_evaluated("""select state, n, fp, fn, n_positive, round(fp / nullif(n - n_positive, 0), 6) as fp_rate, round(fn / nullif(n_positive, 0), 6) as fn_rate from (
+  select state, count(*) as n, count(*) filter (where score >= 0.3 and label = 0) as fp, count(*) filter (where score < 0.3 and label = 1) as fn, count(*) filter (where label = 1) as n_positive from scored group by 1)"""))
+def error_slices(spark, sf):
+    return rounded(metrics.slices(_scored(spark, sf), "state", 0.3))
+
+
+@query(_evaluated("""select bin::int as bin, count(*) as n, round(avg(score), 6) as mean_predicted, round(avg(label), 6) as observed_rate, round(count(*) / (select count(*) from scored), 6) as weight, round(abs(avg(score) - avg(label)), 6) as gap from (
+  select score, label, len(list_filter(inner_edges, lambda e: score >= e)) as bin from scored, (select e[2:len(e) - 1] as inner_edges from (select list_sort(list_distinct(quantile_cont(score, [0, .1, .2, .3, .4, .5, .6, .7, .8, .9, 1]))) as e from scored))) group by 1"""))
+def calibration_curve(spark, sf):
+    return rounded(metrics.calibration(_scored(spark, sf)))
+
+
+@query(chain("""select label, support, tp, n_predicted, round(f1, 6) as f1, round(sum(tp) over () / sum(support) over (), 6) as accuracy, round(avg(f1) over (), 6) as macro_f1, round(sum(f1 * support) over () / sum(support) over (), 6) as weighted_f1 from (
+  select label, sum(s)::bigint as support, sum(t)::bigint as tp, sum(q)::bigint as n_predicted, coalesce(2 * sum(t) / nullif(sum(s) + sum(q), 0), 0) as f1 from (
+    select next_state as label, 1 as s, (next_state = current_status)::int as t, 0 as q from tg where next_state_complete = 1 union all select current_status, 0, 0, 1 from tg where next_state_complete = 1) group by 1)""", "tg"))
+def multiclass_metrics(spark, sf):
+    p = dense(spark, sf)
+    rows = labels.add_targets(p.joined, labels.data_end(p.monthly)).filter("next_state_complete = 1")
+    return rounded(metrics.multiclass(rows, "next_state", "current_status"))
+
+
+@query(chain("select next_state as actual, current_status as predicted, count(*) as n from tg where next_state_complete = 1 group by 1, 2", "tg"))
+def multiclass_confusion(spark, sf):
+    p = dense(spark, sf)
+    rows = labels.add_targets(p.joined, labels.data_end(p.monthly)).filter("next_state_complete = 1")
+    return metrics.confusion_matrix(rows, "next_state", "current_status")
+
+
+_DRIFT = ["score", "days_past_due", "current_balance", "loan_age_months"]
+
+
+@query(chain("", "sp") + f", {_SCORED}, long as (" + " union all ".join(f"select '{c}' as feature, {c}::double as v, split from scored" for c in _DRIFT) + """),
+edges as (select feature, list_sort(list_distinct(quantile_cont(v, [0, .1, .2, .3, .4, .5, .6, .7, .8, .9, 1]))) as e from long where split = 'train' group by 1),
+binned as (select l.feature, split, v, case when v = e[len(e)] then len(e) - 1 when v < e[1] or v > e[len(e)] then 0 else len(list_filter(e, lambda x: x <= v)) end as bin from long l join edges using (feature) where split in ('train', 'test') and v is not null),
+counts as (select feature, bin, count(*) filter (where split = 'train') as e, count(*) filter (where split = 'test') as a from binned group by 1, 2),
+totals as (select feature, count(*) filter (where split = 'train') as ne, count(*) filter (where split = 'test') as na, avg(v) filter (where split = 'train') as me, avg(v) filter (where split = 'test') as ma from binned group by 1),
+bins as (select feature, unnest(generate_series(1, len(e) - 1)) as bin, len(e) as n_edges from edges),
+shares as (select feature, n_edges, greatest(coalesce(e, 0) / ne, 1e-6) as e, greatest(coalesce(a, 0) / na, 1e-6) as a from bins left join counts using (feature, bin) join totals using (feature)),
+scores as (select feature, case when max(n_edges) < 3 then 0 else sum((a - e) * ln(a / e)) end as psi from shares group by 1)
+select feature, round(psi, 6) as psi, case when psi < 0.1 then 'stable' when psi < 0.25 then 'moderate' else 'significant' end as severity, round(me, 6) as expected_mean, round(ma, 6) as actual_mean from scores join totals using (feature)""")
+def drift_report(spark, sf):
+    rows = _scored(spark, sf)
+    return rounded(metrics.drift(rows.filter("split = 'train'"), rows.filter("split = 'test'"), _DRIFT))
+
+
+# Anomalies, scenarios, survival.
+
+_FUSED = chain("", "ru") + """, base as (select *, (850 - coalesce(credit_score, 600)) as raw from ru),
+fused as (select * exclude (exception_type), (raw - min(raw) over ()) / nullif(max(raw) over () - min(raw) over (), 0) as ml_anomaly_score, least(dq_penalty / 100, 1) as rule_score, exception_type as rule_type from base),
+scores as (select *, least(greatest(rule_score, ml_anomaly_score * 0.85), 1) as anomaly_score, coalesce(rule_type, case when ml_anomaly_score > 0.75 then 'statistical_outlier' end) as exception_type from fused)
+"""
+
+
+def _fused(spark, sf):
+    rows = dense(spark, sf).ruled.withColumn("_raw", 850 - F.coalesce("credit_score", F.lit(600.0)))
+    low, high = rows.agg(F.min("_raw"), F.max("_raw")).first()
+    return anomaly.fuse(rows.withColumn("ml_anomaly_score", S.ratio(F.col("_raw") - low, F.lit(high - low))))
+
+
+@query(_FUSED + f"select {KEY}, round(ml_anomaly_score, 6) as ml_anomaly_score, round(rule_score, 6) as rule_score, round(anomaly_score, 6) as anomaly_score, exception_type from scores")
+def anomaly_fusion(spark, sf):
+    return rounded(_fused(spark, sf).select("loan_id", "reporting_month", "ml_anomaly_score", "rule_score", "anomaly_score", "exception_type"))
+
+
+@query(_FUSED + f""", flagged as (select * from scores where anomaly_score > 0), size as (select greatest(2, 40 // greatest(count(distinct exception_type), 1)) as per from flagged),
+picks as (select * from (select *, row_number() over (partition by exception_type order by anomaly_score desc, loan_id, reporting_month) as r from flagged) where r <= (select per from size)),
+extra as (select * from flagged anti join picks using (loan_id, reporting_month) order by anomaly_score desc, loan_id, reporting_month limit greatest(0, 40 - (select count(*) from picks))),
+chosen as (select loan_id, reporting_month, anomaly_score, exception_type from picks union all select loan_id, reporting_month, anomaly_score, exception_type from extra)
+select loan_id, reporting_month, round(anomaly_score, 6) as anomaly_score, exception_type from chosen order by anomaly_score desc, loan_id, reporting_month limit 40""")
+def anomaly_examples(spark, sf):
+    return rounded(anomaly.examples(_fused(spark, sf), ["loan_id", "reporting_month"], 40).select("loan_id", "reporting_month", "anomaly_score", "exception_type"))
+
+
+_Z = ["current_balance", "credit_score", "loan_age_months", "remaining_term_months", "interest_rate"]
+
+
+@query(chain("", "pn") + ", long as (" + " union all ".join(f"select loan_id, reporting_month, '{c}' as f, {c}::double as v from pn" for c in _Z) + f"""),
+m as (select f, quantile_cont(v, 0.5) as med from long group by 1), d as (select f, quantile_cont(abs(v - med), 0.5) as mad from long join m using (f) group by 1),
+z as (select loan_id, reporting_month, f, abs((v - med) / nullif(mad, 0)) as z from long join m using (f) join d using (f) where v is not null and mad > 0)
+select loan_id, reporting_month, list(f order by z desc, f)[1:4] as fields, round(max(z), 6) as top_z from z group by 1, 2""")
+def anomaly_drivers(spark, sf):
+    found = anomaly.drivers(dense(spark, sf).joined, _Z, ["loan_id", "reporting_month"])
+    return rounded(found.select("loan_id", "reporting_month", F.transform("drivers", lambda d: d["field"]).alias("fields"), F.col("drivers")[0]["robust_z"].alias("top_z")))
+
+
+@query()
+def isolation_forest(spark, sf):
+    rows = dense(spark, sf).ruled
+    forest, middle = anomaly.fit(rows, _Z, ["loan_id", "reporting_month"], trees=50)
+    return anomaly.score(rows, forest, middle, _Z).select("loan_id", "reporting_month", "ml_anomaly_score", "rule_score", "anomaly_score", "exception_type")
+
+
+_SIM = """sc(scenario_name, rate, dpd, mult) as (values ('base', 0, 0, 1.0::double), ('adverse_credit', 100, 1, 2.6::double), ('high_prepayment', -150, 0, 0.75::double)),
+stressed as (select scenario_name, state, least(greatest((0.01::double * (current_interest_rate + rate / 10000.0::double) + least(days_past_due + dpd * 30.0::double, 360) / 720.0::double) * mult, 0), 1) as p from pn, sc)"""
+
+
+def _stress_score(df):
+    return df.withColumn("score", 0.01 * F.col("current_interest_rate") + F.least(F.col("days_past_due"), F.lit(360.0)) / 720.0)
+
+
+@query(chain("", "pn") + f", {_SIM} select scenario_name, count(*) as n, round(avg(p), 6) as portfolio_rate from stressed group by 1")
+def scenario_simulation(spark, sf):
+    return rounded(scenario.simulate(dense(spark, sf).joined, scenario.scenarios(spark), "next_12m_default_flag", _stress_score))
+
+
+@query(chain("", "pn") + f", {_SIM} select scenario_name, state, count(*) as n, round(avg(p), 6) as portfolio_rate from stressed group by grouping sets ((scenario_name), (scenario_name, state))")
+def scenario_by_segment(spark, sf):
+    return rounded(scenario.simulate(dense(spark, sf).joined, scenario.scenarios(spark), "next_12m_default_flag", _stress_score, ["state"]).drop("level"))
+
+
+@query(chain("", "pn") + f""", {_SIM}, r as (select avg(p) filter (where scenario_name = 'base') as b, avg(p) filter (where scenario_name = 'adverse_credit') as a, avg(p) filter (where scenario_name = 'high_prepayment') as h from stressed)
+select round(b, 6) as base, round(a, 6) as adverse_credit, round(h, 6) as high_prepayment, round(a - b, 6) as adverse_credit_delta, round(h - b, 6) as high_prepayment_delta from r""")
+def scenario_comparison(spark, sf):
+    return rounded(scenario.compare(scenario.simulate(dense(spark, sf).joined, scenario.scenarios(spark), "next_12m_default_flag", _stress_score)))
+
+
+_LIVES = """lives as (select loan_id, coalesce(min(loan_age_months) filter (where default_flag), max(loan_age_months)) as age, max(default_flag::int) as event, min(loan_age_months) as entry from mo group by 1)"""
+
+
+@query(chain("", "mo") + f""", {_LIVES}, ages as (select age from lives union select entry from lives),
+t as (select age, (select count(*) from lives where lives.age = ages.age) as leaving, (select coalesce(sum(event), 0) from lives where lives.age = ages.age)::bigint as events, (select count(*) from lives where entry = ages.age) as entering from ages),
+r as (select *, (sum(entering) over (order by age rows unbounded preceding) - coalesce(sum(leaving) over (order by age rows between unbounded preceding and 1 preceding), 0))::bigint as at_risk from t),
+h as (select *, coalesce(events::double / nullif(at_risk, 0), 0) as hazard from r)
+select age, leaving, events, entering, at_risk, round(hazard, 6) as hazard, round(case when max((hazard >= 1)::int) over w = 1 then 0 else exp(sum(ln(case when hazard < 1 then 1 - hazard else 1 end)) over w) end, 6) as survival,
+  round(1 - case when max((hazard >= 1)::int) over w = 1 then 0 else exp(sum(ln(case when hazard < 1 then 1 - hazard else 1 end)) over w) end, 6) as incidence from h window w as (order by age rows unbounded preceding)""")
+def survival_curve(spark, sf):
+    return rounded(survival.kaplan_meier(survival.durations(dense(spark, sf).monthly)))
+
+
+@query(chain("", "mo") + f", {_LIVES} select sum(event)::bigint as events, sum(age - entry + 1)::bigint as months, round(sum(event) / sum(age - entry + 1), 6) as hazard from lives")
+def survival_naive(spark, sf):
+    return rounded(survival.naive(survival.durations(dense(spark, sf).monthly)))
+
+
+# Models.
+
+_INPUTS = ["days_past_due", "dpd_max_6m", "dpd_mean_12m", "cum_delinquent_months", "credit_risk_score", "loan_utilization", "loan_age_months", "balance_pct_change_1m"]
+
+
+def _fitted(spark, sf, algorithm="logistic_regression"):
+    rows = dense(spark, sf).split(**TEST_YEARS)
+    keys = ["loan_id", "reporting_month"]
+    target = "next_3m_delinquency_flag"
+    parts = [models.load_split(rows, s, target, keys) for s in ("train", "validation")]
+    return rows, models.train(*parts, target, _INPUTS, algorithm, trees=10)
+
+
+@query()
+def model_scores(spark, sf):
+    rows, bundle = _fitted(spark, sf)
+    scored = bundle.score(rows.filter("split = 'test'"), "p")
+    return scored.select("loan_id", "reporting_month", F.round("p", 6).alias("p"), serve.risk_level(F.col("p")).alias("risk_level"), serve.action(F.lit(False), F.col("p")).alias("action"))
+
+
+@query()
+def model_explanations(spark, sf):
+    rows, bundle = _fitted(spark, sf)
+    return explain.explain(rows.filter("split = 'test'"), bundle, ["loan_id", "reporting_month"])
+
+
+@query()
+def model_next_state(spark, sf):
+    rows = dense(spark, sf).split(**TEST_YEARS)
+    bundle = models.train_states(rows.filter("split = 'train'"), _INPUTS, "logistic_regression")
+    return metrics.multiclass(bundle.score(rows.filter("split = 'test' and next_state_complete = 1")), "next_state", "predicted_state")
+
+
+@query()
+def survival_projection(spark, sf):
+    rows, bundle = _fitted(spark, sf)
+    return survival.curves(segments.latest(rows.select("loan_id", "reporting_month", *_INPUTS)), bundle.score, 24)
+
+
+# Serving.
+
+
+@query(chain("select loan_id, state, credit_score_band, ltv_band, dti_band, loan_purpose, original_balance, vintage_year from st where state = 'CA' order by loan_id limit 5 offset 5", "st"))
+def loan_list(spark, sf):
+    return serve.loans(dense(spark, sf).static, state="CA", number=2, size=5)
+
+
+@query(chain("select loan_id, state from st where loan_id > '20' order by loan_id limit 10", "st"))
+def loan_list_keyset(spark, sf):
+    return serve.after(dense(spark, sf).static.select("loan_id", "state"), "loan_id", "20", 10)
+
+
+@query(chain("""select st.loan_id, state, ltv, reporting_month, current_status, current_balance, days_past_due, loan_age_months from st left join (
+  select * from (select *, row_number() over (partition by loan_id order by reporting_month desc) as r from cl) where r = 1) l using (loan_id)""", "cl"))
+def loan_detail(spark, sf):
+    p = dense(spark, sf)
+    return serve.loan_detail(p.static.select("loan_id", "state", "ltv"), p.clean)
+
+
+@query(_FUSED + "select loan_id, reporting_month, round(anomaly_score, 6) as anomaly_score, exception_type from scores where anomaly_score >= 0.3 and exception_type = 'date_conflict' order by anomaly_score desc, loan_id, reporting_month limit 25")
+def anomaly_list(spark, sf):
+    return rounded(serve.anomalies(_fused(spark, sf), 0.3, "date_conflict").drop("reason"))
+
+
+@query("""select o_orderkey, case when p < 0.02 then 'low' when p < 0.1 then 'medium' when p < 0.25 then 'high' else 'critical' end as risk_level, case when p > 0.1 then 'Review' else 'Auto-Approve' end as action
+from (select o_orderkey, (o_orderkey % 100) / 200 as p from orders)""")
+def risk_tiers(spark, sf):
+    p = (F.col("o_orderkey") % 100) / 200
+    return testdata.table(spark, sf, "orders").select("o_orderkey", serve.risk_level(p).alias("risk_level"), serve.action(F.lit(False), p).alias("action"))
+
+
+@query()
+def predictions(spark, sf):
+    rows, bundle = _fitted(spark, sf)
+    test = rows.filter("split = 'test'")
+    key = ["loan_id", "reporting_month"]
+    scored = bundle.score(test, "next_3m_delinquency_flag_p").join(explain.explain(test, bundle, key), key)
+    states = models.train_states(rows.filter("split = 'train'"), _INPUTS, "logistic_regression").score(scored)
+    fused = states.select(
+        "loan_id", *[(F.col("next_3m_delinquency_flag_p") * w).alias(t) for t, w in (("next_3m_delinquency_flag", 1.0), ("next_12m_default_flag", 0.4), ("next_12m_prepayment_flag", 0.2))],
+        "predicted_state", "confidence", "drivers", F.lit(0.0).alias("anomaly_score"), F.lit(None).cast("string").alias("exception_type"))
+    out = serve.submission(fused, ["next_3m_delinquency_flag", "next_12m_default_flag", "next_12m_prepayment_flag"])
+    return serve.predict(testdata.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("loan_id")), out)
+
+
+# Streams over the events table, run to their end.
+
+
+@query("select date_trunc('day', ts)::timestamp as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2")
+def stream_daily(spark, sf):
+    return streams.daily(spark, sf)
+
+
+@query("select user_id, event_type, count(*) as n from (select distinct user_id, event_type, date_trunc('day', ts) from events) group by 1, 2")
+def stream_distinct_days(spark, sf):
+    return streams.distinct_days(spark, sf)
