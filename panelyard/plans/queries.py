@@ -79,17 +79,23 @@ def parse_month_codes(spark, sf):
     return spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in codes])).alias("code")).select("code", S.parse_month(F.col("code")).alias("month"))
 
 
-@query("""select o_orderkey, (x % 1000000)::bigint as bucket, x % 1000000 < 30000 as in_sample from (
-  select o_orderkey, xor(c, c >> 31) as x from (select o_orderkey, ((xor(b, b >> 27)::uhugeint * 10723151780598845931::uhugeint) % 18446744073709551616::uhugeint)::ubigint as c from (
-    select o_orderkey, ((xor(a, a >> 30)::uhugeint * 13787848793156543929::uhugeint) % 18446744073709551616::uhugeint)::ubigint as b from (select o_orderkey, (o_orderkey + """ + str(zlib.crc32(b"panel")) + """)::ubigint as a from orders))))""")
+def _hashed(key: str, source: str) -> str:
+    """(key, x): the 64-bit hash of the sample, in DuckDB's wide integers."""
+    return f"""select {key}, xor(c, c >> 31) as x from (select {key}, ((xor(b, b >> 27)::uhugeint * 10723151780598845931::uhugeint) % 18446744073709551616::uhugeint)::ubigint as c from (
+    select {key}, ((xor(a, a >> 30)::uhugeint * 13787848793156543929::uhugeint) % 18446744073709551616::uhugeint)::ubigint as b from (select {key}, ({key}::bigint + {zlib.crc32(b"panel")})::ubigint as a from {source})))"""
+
+
+@query(f"select o_orderkey, (x % 1000000)::bigint as bucket, x % 1000000 < 30000 as in_sample from ({_hashed('o_orderkey', 'orders')})")
 def entity_hash_sample(spark, sf):
     bucket = S.hash_bucket(F.col("o_orderkey"), "panel")
     return testdata.table(spark, sf, "orders").select("o_orderkey", bucket.alias("bucket"), S.sampled(F.col("o_orderkey"), 0.03, "panel").alias("in_sample"))
 
 
-@query()
+@query(chain("", "mo") + f""", k as (select loan_id, x % 1000000 < 300000 as kept from ({_hashed('loan_id', 'st_ids')})), c as (select kept, count(*) as n from mo join k using (loan_id) group by 1)
+select sum(n)::bigint as n_rows, coalesce(sum(n) filter (where kept), 0)::bigint as n_rows_kept, (select count(*) from k) as n_entities, (select count(*) from k where kept) as n_entities_kept, 0.3::double as target_rate,
+  round(coalesce(sum(n) filter (where kept), 0) / sum(n), 6) as row_rate, round((select count(*) from k where kept) / (select count(*) from k), 6) as entity_rate from c""".replace("from st_ids", "from (select distinct loan_id from mo)"))
 def sample_audit(spark, sf):
-    return ingest.sample_audit(testdata.raw_panel(spark, sf), 0.3, "panel")
+    return rounded(ingest.sample_audit(testdata.raw_panel(spark, sf), 0.3, "panel"))
 
 
 @query("select l_orderkey, l_linenumber, l_partkey from (select *, row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1 as n from lineitem) where n % 97 = 0")
