@@ -112,8 +112,8 @@ def _sent(batches, length):
             ["doc_id", "tkey", "n_words", "digest", "anchors"])
 
 
-def _extended(batches, length):
-    """Windows of the full length around repeated halves: a row for each document and different window."""
+def _extended(batches, length, every=False):
+    """Windows of the full length around repeated halves: a row for each document and different window, or for every place."""
     words, other = _Words(1), _Words(2)
     cat = np.concatenate
     for batch in batches:
@@ -123,7 +123,7 @@ def _extended(batches, length):
             again = np.asarray(anchors.values).view(np.uint64)
             at = np.flatnonzero(np.isin(_halves(found, words, length), again))
             one = window_hashes(words(found), length)[at]
-            _, first = np.unique(one, return_index=True)
+            first = np.arange(len(one)) if every else np.unique(one, return_index=True)[1]
             ones.append(one[first])
             twos.append(window_hashes(other(found), length)[at[first]])
             firsts.append(at[first].astype(np.int64))
@@ -201,6 +201,47 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), text.alias("text"))
 
 
+IDS = ["doc_id", "tkey"]
+SENT = "doc_id long, tkey long, n_words long, digest binary, anchors array<long>"
+
+
+def _wider(rows: DataFrame, sent: DataFrame, length: int, every: bool = False) -> DataFrame:
+    """One doubling: halves that several documents have, extended to windows of ``length`` (doc_id, tkey, h1, h2, at)."""
+    each = store(sent.select(*IDS, F.explode("anchors").alias("h")), "halves")
+    often = store(_shared(each, ["h"]).select("h"), "often")
+    again = store(each.join(often, "h").groupBy(*IDS).agg(F.collect_list("h").alias("anchors")), "again")
+    wide = rows.join(again.hint("shuffle_hash"), IDS).select(*IDS, "text", "anchors")
+    return store(wide.mapInArrow(partial(_extended, length=length, every=every), "doc_id long, tkey long, h1 long, h2 long, at long"), "windows")
+
+
+def _shared(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, low): what more than one document has, with the smallest doc_id."""
+    return windows.groupBy(*keys).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("high > low").drop("high")
+
+
+def repeat_levels(docs: DataFrame, length: int = 50) -> DataFrame:
+    """(length, doc_id, tkey, at): windows that several documents have, each at the last length at which it repeats.
+
+    Windows of ``length`` that repeat are extended to twice that length where the window that follows
+    repeats too, and again, until no candidates survive.  A longer window's hash comes from its halves'.
+    """
+    rows = _rows(docs).filter("doc_id is not null").dropDuplicates(IDS)
+    sent = store(rows.mapInArrow(partial(_sent, length=length), SENT).filter(F.col("n_words") >= length), "anchors")
+    found = _wider(rows, sent, length, every=True)
+    keys = ["h1", "h2"]
+    now = store(found.join(_shared(found, keys).select(*keys), keys), "level")
+    done = None
+    while not now.isEmpty():
+        following = now.select(*IDS, (F.col("at") - length).alias("at"), F.col("h1").alias("g1"), F.col("h2").alias("g2"))
+        pairs = now.join(following, [*IDS, "at"]).select(*IDS, "at", F.xxhash64("h1", "h2", "g1", "g2").alias("h1"), F.xxhash64("h2", "g1", "h1", "g2").alias("h2"))
+        pairs = store(pairs, "pairs")
+        longer = store(pairs.join(_shared(pairs, keys).select(*keys), keys).select(*IDS, keys[0], keys[1], "at"), "level")
+        last = now.join(longer.select(*IDS, "at"), [*IDS, "at"], "left_anti").select(F.lit(length).cast("long").alias("length"), *IDS, "at")
+        done = last if done is None else done.union(last)
+        now, length = longer, 2 * length
+    return done if done is not None else found.select(F.lit(length).cast("long").alias("length"), *IDS, "at")
+
+
 def repeated_windows(docs: DataFrame, length: int = 50) -> DataFrame:
     """(doc_id, tkey, firsts, whole): what each document repeats of documents with a smaller doc_id.
 
@@ -211,24 +252,14 @@ def repeated_windows(docs: DataFrame, length: int = 50) -> DataFrame:
     doc_id are judged each by its own text, and never against one another.
     """
     rows = _rows(docs).filter("doc_id is not null")
-    sent = store(rows.mapInArrow(
-        partial(_sent, length=length), "doc_id long, tkey long, n_words long, digest binary, anchors array<long>")
-        .filter(F.col("n_words") >= length), "anchors")
-    ids = ["doc_id", "tkey"]
+    sent = store(rows.mapInArrow(partial(_sent, length=length), SENT).filter(F.col("n_words") >= length), "anchors")
+    ids = IDS
     first = store(sent.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
                   .filter("last > first").select("digest", "first"), "first")
     whole = store(sent.select(*ids, "digest").join(first, "digest").filter("doc_id > first").select(*ids).distinct(), "whole")
     alone = sent.select(*ids, "anchors").join(whole, ids, "left_anti").dropDuplicates(ids)
-    each = store(alone.select("doc_id", "tkey", F.explode("anchors").alias("h")), "halves")
-    often = store(each.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-                  .filter("high > low").select("h"), "often")
-    again = store(each.join(often, "h").groupBy(*ids).agg(F.collect_list("h").alias("anchors")), "again")
-    wide = rows.join(again.hint("shuffle_hash"), ids).select(*ids, "text", "anchors")
-    full = store(wide.mapInArrow(
-        partial(_extended, length=length), "doc_id long, tkey long, h1 long, h2 long, at long"), "windows")
-    low = store(
-        full.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-        .filter("high > low").select("h1", "h2", "low"), "low")
+    full = _wider(rows, alone, length)
+    low = store(_shared(full, ["h1", "h2"]), "low")
     firsts = (full.join(low, ["h1", "h2"]).filter("doc_id > low")
               .groupBy(*ids).agg(F.collect_set("at").alias("firsts")))
     return store(firsts.select(*ids, "firsts", F.lit(False).alias("whole")).unionByName(

@@ -56,3 +56,25 @@ def test_text(odd_docs, no_docs):
     assert got[3].text is None and got[2].text == "" and got[1].n_removed == 0
     assert S.remove_repeats(no_docs).count() == 0
     assert S.remove_repeats(odd_docs).columns == [*odd_docs.columns, "n_removed"]
+
+
+def slow_levels(rows, length):
+    out, texts = set(), {d: (t or "").split() for d, t in rows if d is not None}
+    while True:
+        places = {}
+        for d, w in texts.items():
+            for i in range(len(w) - length + 1):
+                places.setdefault(tuple(w[i:i + length]), []).append((d, i))
+        now = {p for ps in places.values() if len({d for d, _ in ps}) > 1 for p in ps}
+        if not now:
+            return {(n, d, i) for n, d, i in out if (2 * n, d, i) not in out}
+        out |= {(length, d, i) for d, i in now}
+        length *= 2
+
+
+def test_levels(spark, sf, odd_docs, no_docs):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for df, length in ((docs, 6), (docs, 50), (odd_docs.dropDuplicates(), 9), (no_docs, 5)):
+        rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+        got = S.repeat_levels(df, length).select("length", "doc_id", "at").collect()
+        assert {tuple(r) for r in got} == slow_levels(rows, length) and len(got) == len({tuple(r) for r in got})
