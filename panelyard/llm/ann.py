@@ -30,7 +30,7 @@ SHARD, BLOCK = 32_768, 8_192
 #: Lines; the share of them on which a candidate collides; growth of the windows.
 LINES, SHARE, GROW = 96, 0.85, 1.15
 #: Candidates verified before a query may end: VERIFY of the shard, and LEAST at least.
-VERIFY, LEAST = 0.05, 600
+VERIFY, LEAST = 0.06, 1000
 
 
 class Shard:
