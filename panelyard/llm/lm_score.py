@@ -32,7 +32,7 @@ from ._shared import store
 BACKOFF = 0.4
 ORDER, LEAST = 2, 2
 #: Words of a block, and different n-grams that a partition holds, about.
-BLOCK, PART = 1_000_000, 2_000_000
+BLOCK, PART = 1_000_000, 1_000_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
