@@ -21,15 +21,14 @@ def deduplicate(rows: DataFrame, keys: list[str] = KEYS, seq: str = "ingest_seq"
     for k in keys:
         lost = lost | F.col(k).isNull()
     values = [c for c in rows.columns if c != seq]
-    first_key = F.coalesce(F.col(keys[0]), F.concat(F.lit("\0"), F.col(seq).cast("string")))
-    spread = rows.withColumn("_lost", lost).withColumn("_p", first_key).repartition("_p")
-    same = Window.partitionBy("_p", *values).orderBy(seq)
-    ranked = spread.withColumn("_copy", F.row_number().over(same)).filter("_lost or _copy = 1")
-    key = Window.partitionBy("_p", *keys)
+    spread = rows.filter(~lost).repartition(keys[0])
+    ranked = spread.withColumn("_copy", F.row_number().over(Window.partitionBy(*values).orderBy(seq))).filter("_copy = 1")
+    key = Window.partitionBy(*keys)
     ranked = ranked.withColumn("_n", F.count("*").over(key)).withColumn("_at", F.row_number().over(key.orderBy(seq)))
-    panel = ranked.filter("not _lost and _at = 1").select(*rows.columns)
-    reason = F.when(F.col("_lost"), "missing_primary_key").otherwise("conflicting_duplicate_loan_month")
-    return panel, ranked.filter("_lost or _n > 1").select(*rows.columns, reason.alias("quarantine_reason"))
+    panel = ranked.filter("_at = 1").select(*rows.columns)
+    missing = rows.filter(lost).select(*rows.columns, F.lit("missing_primary_key").alias("quarantine_reason"))
+    conflicts = ranked.filter("_n > 1").select(*rows.columns, F.lit("conflicting_duplicate_loan_month").alias("quarantine_reason"))
+    return panel, missing.unionByName(conflicts)
 
 
 def repair(panel: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelyard.functions import scalar as S
+from panelyard.operators.ordered import numbered
 from panelyard.plans import contract as C
 
 RAW_CARRIED = ("source_file", "ingest_seq")
@@ -120,9 +121,12 @@ def sample_audit(raw: DataFrame, rate: float, salt: str) -> DataFrame:
 
 
 def stride_sample(df: DataFrame, order: list[str], every: int, by: str | None = None) -> DataFrame:
-    """Every ``every``-th row in an explicit order, inside each ``by`` group."""
-    w = (Window.partitionBy(by) if by else Window.partitionBy()).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w) - 1).filter(F.col("_n") % every == 0).drop("_n")
+    """Every ``every``-th row in an explicit order, inside each ``by`` group or over the whole table."""
+    if by is None:
+        rows = numbered(df, order, "_n")
+    else:
+        rows = df.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1)
+    return rows.filter(F.col("_n") % every == 0).drop("_n")
 
 
 def seeded_cap(df: DataFrame, key: list[str], n: int, seed: int = 42) -> DataFrame:

@@ -63,3 +63,26 @@ def long(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:
     """(keep, feature, value): columns turned to rows, values as doubles."""
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
     return df.select(*keep, F.inline(rows))
+
+
+def numbered(df: DataFrame, order: list[str], name: str, parts: int = PARTS) -> DataFrame:
+    """Adds the row's number, from 0, in the order of ``order``, whose first column is a number, date or time."""
+    first = F.unix_timestamp(F.col(order[0]).cast("timestamp")).cast("double") if dict(df.dtypes)[order[0]] in ("date", "timestamp", "timestamp_ntz") else F.col(order[0]).cast("double")
+    probabilities = F.array(*[F.lit((i + 1) / parts) for i in range(parts - 1)])
+    edges = sorted(set(df.agg(F.percentile_approx(first, probabilities, 1000)).first()[0] or []))
+    at = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < first)) if edges else F.lit(0)
+    cut = df.withColumn("_range", F.when(first.isNull(), -1).otherwise(at))
+    sizes = {r[0]: r[1] for r in cut.groupBy("_range").count().collect()}
+    start, before = F.lit(0).cast("long"), 0
+    for r in sorted(sizes):
+        start = F.when(F.col("_range") == r, F.lit(before).cast("long")).otherwise(start)
+        before += sizes[r]
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return cut.withColumn(name, start + place).drop("_range")
+
+
+def top(df: DataFrame, by: list[str], order: list, k: int, rank: str = "_rank", shares: int = PARTS) -> DataFrame:
+    """The first ``k`` rows of each group, ranked from 1: first of every share of the group, then of what they leave."""
+    spread = df.withColumn("_share", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(shares)))
+    some = spread.withColumn(rank, F.row_number().over(Window.partitionBy(*by, "_share").orderBy(*order))).filter(F.col(rank) <= k)
+    return some.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col(rank) <= k).drop("_share")

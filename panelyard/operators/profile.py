@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelyard.functions import scalar as S
-from panelyard.operators.ordered import long, quantiles
+from panelyard.operators.ordered import long, quantiles, top
 
 
 def columns(df: DataFrame, names: list[str], examples: int = 3, approximate: bool = False) -> DataFrame:
@@ -23,11 +23,11 @@ def columns(df: DataFrame, names: list[str], examples: int = 3, approximate: boo
             F.count("*").alias("n"), F.avg(filled.cast("int").cast("double")).alias("fill_rate"), F.approx_count_distinct(F.when(filled, F.col("v"))).alias("n_distinct"),
             F.coalesce(F.min(F.when(filled, F.length("v"))), F.lit(0)).alias("min_len"), F.coalesce(F.max(F.length("v")), F.lit(0)).alias("max_len"))
     values = turned.groupBy("idx", "column", "v").agg(F.count("*").alias("n"))
-    ranked = values.withColumn("_r", F.when(filled, F.row_number().over(Window.partitionBy("idx", filled).orderBy(F.desc("n"), "v"))))
-    shown = F.transform(F.array_sort(F.collect_list(F.when(F.col("_r") <= examples, F.struct("_r", "v")))), lambda x: x["v"])
-    return ranked.groupBy("idx", "column").agg(
-        F.sum("n").alias("n"), (F.sum(F.when(filled, F.col("n")).otherwise(0)) / F.sum("n")).alias("fill_rate"), F.count_if(filled).alias("n_distinct"), F.array_join(shown, ",").alias("examples"),
-        F.coalesce(F.min(F.when(filled, F.length("v"))), F.lit(0)).alias("min_len"), F.max(F.length("v")).alias("max_len"))
+    shown = top(values.filter(filled), ["idx"], [F.desc("n"), "v"], examples).groupBy("idx").agg(F.array_sort(F.collect_list(F.struct("_rank", "v"))).alias("_e"))
+    return values.groupBy("idx", "column").agg(
+        F.sum("n").alias("n"), (F.sum(F.when(filled, F.col("n")).otherwise(0)) / F.sum("n")).alias("fill_rate"), F.count_if(filled).alias("n_distinct"),
+        F.coalesce(F.min(F.when(filled, F.length("v"))), F.lit(0)).alias("min_len"), F.max(F.length("v")).alias("max_len")).join(shown, "idx", "left").select(
+        "idx", "column", "n", "fill_rate", "n_distinct", F.coalesce(F.array_join(F.transform("_e", lambda x: x["v"]), ","), F.lit("")).alias("examples"), "min_len", "max_len")
 
 
 def widths(lines: DataFrame, column: str = "value", sep: str = "|") -> DataFrame:
@@ -36,9 +36,9 @@ def widths(lines: DataFrame, column: str = "value", sep: str = "|") -> DataFrame
     return lines.groupBy(n.cast("int").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width")
 
 
-def value_counts(df: DataFrame, column: str, top: int = 20) -> DataFrame:
+def value_counts(df: DataFrame, column: str, most: int = 20) -> DataFrame:
     """The most frequent values, null among them."""
-    return df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("value")).limit(top)
+    return df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("value")).limit(most)
 
 
 def missingness(df: DataFrame, names: list[str], period: str) -> DataFrame:
