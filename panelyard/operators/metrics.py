@@ -1,7 +1,8 @@
 """Evaluation of scores against labels, calibration and drift, as table algebra.
 
 Frames have an integer ``label`` (0 or 1) and a double ``score``.  Rows first collapse to
-distinct scores, so ties are exact; sums along the scores run in two phases.
+distinct scores, so ties are exact; the collapsed table is settled once and sums along the
+scores run in two phases over it.
 """
 
 from __future__ import annotations
@@ -12,17 +13,17 @@ from pyspark.sql import functions as F
 from panelyard.functions import scalar as S
 from panelyard.operators.ordered import long, quantiles, running
 from panelyard.plans import contract as C
+from panelyard.sources.tables import settled
 
 
 def curve(df: DataFrame) -> DataFrame:
     """(score, pos, neg, tp, fp, all_pos, all_neg) by distinct score; tp and fp count rows at or above it."""
     each = df.groupBy(F.col("score").cast("double").alias("score")).agg(F.sum(F.col("label").cast("long")).alias("pos"), F.sum(1 - F.col("label").cast("long")).alias("neg"))
-    total = each.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+    each = settled(each)
     up = running(each, "score", ["pos", "neg"])
-    p, n = total.p or 0, total.n or 0
-    return up.select(
-        "score", "pos", "neg", (F.lit(p) - F.col("cum_pos") + F.col("pos")).alias("tp"), (F.lit(n) - F.col("cum_neg") + F.col("neg")).alias("fp"),
-        F.lit(p).cast("long").alias("all_pos"), F.lit(n).cast("long").alias("all_neg"))
+    p, n = (F.coalesce(each.agg(F.sum(c)).scalar(), F.lit(0)).cast("long") for c in ("pos", "neg"))
+    return up.withColumn("all_pos", p).withColumn("all_neg", n).select(
+        "score", "pos", "neg", (F.col("all_pos") - F.col("cum_pos") + F.col("pos")).alias("tp"), (F.col("all_neg") - F.col("cum_neg") + F.col("neg")).alias("fp"), "all_pos", "all_neg")
 
 
 def _d(c: str) -> Column:
@@ -99,16 +100,15 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 def calibration(df: DataFrame, bins: int = 10) -> DataFrame:
     """(bin, n, mean_predicted, observed_rate, weight, gap): quantile bins, right-open; the sum of weight times gap is the ECE."""
-    found = quantiles(df, "score", [i / bins for i in range(bins + 1)]).first()
-    edges = sorted(set(found.quantiles)) if found else []
-    if found and len(edges) < 3:
-        top = max(edges[-1], 1e-6)
-        edges = [top * i / bins for i in range(bins + 1)]
-    inner = edges[1:-1]
-    at = sum((F.when(F.col("score") >= e, 1).otherwise(0) for e in inner), F.lit(0))
-    n = found.n if found else 1
-    by = df.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.avg("score").alias("mean_predicted"), F.avg(_d("label")).alias("observed_rate"))
-    return by.select("*", (F.col("n") / F.lit(float(n))).alias("weight"), F.abs(F.col("mean_predicted") - F.col("observed_rate")).alias("gap"))
+    found = quantiles(df, "score", [i / bins for i in range(bins + 1)]).select(F.array_sort(F.array_distinct("quantiles")))
+    rows = df.select(F.col("score"), _d("label").alias("label")).withColumn("_edges", found.scalar())
+    even = F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda i: F.greatest(F.element_at("_edges", -1), F.lit(1e-6)) * i / bins)
+    edges = F.when(F.size("_edges") < 3, even).otherwise(F.col("_edges"))
+    inner = F.slice(edges, 2, F.size(edges) - 2)
+    at = F.size(F.filter(inner, lambda e: e <= F.col("score")))
+    by = rows.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.avg("score").alias("mean_predicted"), F.avg("label").alias("observed_rate"))
+    weight = F.col("n") / df.agg(F.count("*")).scalar().cast("double")
+    return by.select("*", weight.alias("weight"), F.abs(F.col("mean_predicted") - F.col("observed_rate")).alias("gap"))
 
 
 def drift(expected: DataFrame, actual: DataFrame, features: list[str], bins: int = 10, eps: float = 1e-6) -> DataFrame:

@@ -71,11 +71,16 @@ class Bundle:
 
 def train(train_df: DataFrame, valid_df: DataFrame, target: str, features: list[str], algorithm: str = "logistic_regression", trees: int = 40, calibrate: str = "isotonic") -> Bundle:
     """Fit on the training rows, classes weighted evenly, and calibrate on the validation rows."""
-    counts = {r.label: r.n for r in train_df.groupBy(F.col(target).alias("label")).agg(F.count("*").alias("n")).collect()}
-    n = sum(counts.values())
-    weight = F.when(F.col("label") == 1, n / (2 * max(1, counts.get(1, 0)))).otherwise(n / (2 * max(1, counts.get(0, 0))))
-    rows = _cast(train_df, features, F.col(target).cast("double").alias("label")).withColumn("weight", weight)
-    model = Pipeline(stages=[*_stages(features, algorithm == "logistic_regression"), _classifier(algorithm, trees)]).fit(rows)
+    # The stages fit one after the other, each over all rows: what they read is kept meanwhile.
+    given = _cast(train_df, features, F.col(target).cast("double").alias("label")).persist()
+    try:
+        counts = {r.label: r.n for r in given.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        n = sum(counts.values())
+        weight = F.when(F.col("label") == 1, n / (2 * max(1, counts.get(1.0, 0)))).otherwise(n / (2 * max(1, counts.get(0.0, 0))))
+        rows = given.withColumn("weight", weight)
+        model = Pipeline(stages=[*_stages(features, algorithm == "logistic_regression"), _classifier(algorithm, trees)]).fit(rows)
+    finally:
+        given.unpersist()
     bundle = Bundle(model, None, target, algorithm, list(features))
     held = bundle.raw(valid_df).select("_p", F.col(f"_row.{target}").cast("double").alias("label"))
     if calibrate == "isotonic":

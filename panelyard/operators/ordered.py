@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelyard.sources.tables import settled
+
 #: Ranges a table (or group) is cut into.
 PARTS = 64
 
@@ -29,8 +31,7 @@ def running(df: DataFrame, order: str, sums: list[str], by: list[str] = (), part
             on = on & F.col(b).eqNullSafe(F.col(f"_by{i}"))
         cut = df.join(edges, on).drop(*[f"_by{i}" for i in range(len(by))])
     else:
-        values = edges.first()[0] or []
-        cut = df.withColumn("_edges", F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<double>"))
+        cut = df.withColumn("_edges", F.coalesce(edges.scalar(), F.array().cast("array<double>")))
     cut = cut.withColumn("_range", F.size(F.filter("_edges", lambda e: e < F.col(order)))).drop("_edges")
     totals = cut.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -46,7 +47,8 @@ def quantiles(df: DataFrame, value: str, probabilities: list[float], by: list[st
     """(by, n, quantiles): exact quantiles with linear interpolation; nulls and NaN are left out."""
     by = list(by)
     counts = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
-    placed = running(counts, "_v", ["_n"], by).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)) if by else F.lit(counts.agg(F.sum("_n")).first()[0] or 0))
+    counts = settled(counts)
+    placed = running(counts, "_v", ["_n"], by).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)) if by else F.coalesce(counts.agg(F.sum("_n")).scalar(), F.lit(0)))
     before = F.col("cum__n") - F.col("_n")
 
     def at(place):
