@@ -28,7 +28,7 @@ RULES = (
 )
 #: Hosts listed by default, with their usual subdomains.
 LISTED = tuple(
-    f"{sub}{name}.example.{top}" for name in ("spam-farm", "cheap-pills") for top in ("com", "net", "org") for sub in ("", "www.", "m.", "blog."))
+    f"{sub}{name}.example.{top}" for name in ("spam-farm", "cheap-pills", "casino-win", "free-bets", "ads-track", "adult-x") for top in ("com", "net", "org") for sub in ("", "www.", "m.", "blog."))
 #: Most bytes of all levels together that go into a plan.
 MAX_BYTES = 8 << 20
 #: Shares over which a host's pages are dealt if the list must be joined.

@@ -63,3 +63,10 @@ def test_lists(spark, sf):
     check(pages, listed=listed.filter("false"), names=set())
     with pytest.raises(OverflowError):
         U.Cascade(spark.createDataFrame([("a", True)], "key string, listed boolean"), 4)
+
+
+def test_every_bad_name_is_listed(spark):
+    hosts = ["m.casino-win.example.com", "free-bets.example.com", "m.ads-track.example.com", "blog.adult-x.example.net", "www.spam-farm.example.com", "www.cheap-pills.example.com"]
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate([*hosts, "ththti.example.net"])], "page_id long, url string")
+    got = {r.host: (r.rule, r.verdict) for r in U.judge(pages).filter("rule is null").collect()}
+    assert got == {h: (None, "block") for h in hosts if not h.endswith(".org")} | {"ththti.example.net": (None, "allow")}
