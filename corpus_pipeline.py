@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import mixing, packing, quality_rules, simhash, substring_dedup
+from panelyard.llm import jaccard, mixing, packing, quality_rules, simhash, substring_dedup
 from panelyard.llm._shared import store, table
+from panelyard.llm.components import components
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,10 +23,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, the one with the smallest doc_id.
 
-    Rows with a null doc_id belong to no class and stay.
+    Two documents are linked if their fingerprints differ in three bits at most or their
+    five-word shingles have a Jaccard similarity of 0.8 or above.  Rows with a null doc_id belong to no class and stay.
     """
-    classes = simhash.near_duplicates(docs)
-    go = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    near = simhash.near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    go = components(near.union(jaccard.links(docs))).filter("node <> component").select(F.col("node").alias("_gone"))
     left = docs.join(store(go, "gone").hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti")
     return left.select(*docs.columns)
 

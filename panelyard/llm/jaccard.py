@@ -1,0 +1,101 @@
+"""Near-duplicates by the Jaccard similarity of word shingles: MinHash bands, then an exact check.
+
+A document is the set of its ``WIDTH``-word shingles (XXH64).  ``BANDS`` bands of ``ROWS``
+minima each name buckets; a pair at a similarity of s shares one with probability
+1 - (1 - s^ROWS)^BANDS, which is 0.99995 at 0.8 and more above.  Every pair that shares a bucket
+is settled: first each member is compared with its bucket's smallest document, then all
+pairs whose members are not yet in one component.  Compared are the shingle sets themselves.
+Only different sets are dealt; documents of one set are linked beforehand.
+"""
+
+from __future__ import annotations
+
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ._shared import store
+from .components import components
+
+WIDTH, SIMILARITY = 5, 0.8
+BANDS, ROWS = 25, 5
+_rng = np.random.default_rng(42)
+_A = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+
+
+def shingles(text: bytes, width: int = WIDTH) -> np.ndarray:
+    """The sorted different hashes of a UTF-8 text's shingles; words as in ``simhash.fingerprint``."""
+    found = text.lower().split()
+    parts = map(b" ".join, zip(*(found[i:] for i in range(width)), strict=False)) if len(found) > width else [b" ".join(found)] * bool(found)
+    return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=42), parts), np.uint64))
+
+
+def _keys(own: np.ndarray) -> np.ndarray:
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(own), 1024):
+        x = own[None, at:at + 1024] * _A[:, None] + _B[:, None]
+        low = np.minimum(low, (x ^ (x >> np.uint64(31))).min(axis=1))
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), seed=i) for i, r in enumerate(low.reshape(BANDS, ROWS))], np.uint64).view(np.int64)
+
+
+def _sets(batches, width):
+    for batch in batches:
+        ids, names, keys = [], [], []
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()), strict=True):
+            own = shingles(text.as_py() or b"", width)
+            if len(own):
+                ids.append(doc)
+                names.append(xxhash.xxh64_intdigest(own.tobytes(), seed=7))
+                keys.append(_keys(own))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "name", "keys"])
+
+
+def _alike(batches, width, similarity):
+    for batch in batches:
+        us, vs = [], []
+        for u, v, a, b in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            a, b = shingles(a.encode(), width), shingles(b.encode(), width)
+            same = len(np.intersect1d(a, b, assume_unique=True))
+            if same >= similarity * (len(a) + len(b) - same) - 1e-9:
+                us.append(u)
+                vs.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+
+def links(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
+    """Edges (u, v) with the components of all pairs of documents at ``similarity`` or above.
+
+    Rows with a null doc_id and texts without words take no part; of a repeated doc_id every text does.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+    sets = store(rows.mapInArrow(partial(_sets, width=width), "doc_id long, name long, keys array<long>"), "sets")
+    first = store(sets.groupBy("name").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "reps")
+    same = sets.select("doc_id", "name").join(first.select("name", "rep"), "name").filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    dealt = first.select("rep", F.explode("keys").alias("key"))
+    buckets = dealt.groupBy("key").agg(F.min("rep").alias("low"), F.count("*").alias("n")).filter("n > 1").select("key", "low")
+    members = store(dealt.join(buckets, "key"), "members")
+
+    # The text of a representative stands for its set: of a repeated doc_id the one that has it is not known, so all are tried.
+    texts = rows.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").distinct()
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("a"))
+        right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
+        given = pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+        return store(given.mapInArrow(partial(_alike, width=width, similarity=similarity), "u long, v long"), "alike")
+
+    star = alike(members.filter("rep <> low").select(F.col("rep").alias("u"), F.col("low").alias("v")).distinct())
+    part = components(star)
+    placed = store(members.join(part, F.col("rep") == F.col("node"), "left").select("key", "rep", "low", F.coalesce("component", "rep").alias("part")), "placed")
+    mixed = placed.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b").select("key")
+    open_ = placed.join(mixed, "key")
+    x, y = open_.alias("x"), open_.alias("y")
+    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.part") != F.col("y.part")))
+    # Pairs with the bucket's smallest document have been compared.
+    rest = rest.filter("x.rep <> x.low").select(F.col("y.rep").alias("u"), F.col("x.rep").alias("v")).distinct()
+    return same.union(star).union(alike(rest))

@@ -1,0 +1,50 @@
+import random
+
+import corpus_pipeline as P
+from panelyard.llm import jaccard as J
+from panelyard.llm.components import components
+
+
+def grams(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def slow_classes(rows):
+    own = {d: d for d, _ in rows}
+    sets = [(d, grams(t)) for d, t in rows]
+    pairs = [(a, b) for a, x in sets for b, y in sets if a < b and x and len(x & y) >= 0.8 * len(x | y) - 1e-9]
+    for _ in rows:
+        for a, b in pairs:
+            own[a] = own[b] = min(own[a], own[b])
+    return own
+
+
+def near_copies():
+    rng, rows = random.Random(5), []
+    for c in range(12):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.choice((6, 60, 150, 400)))]
+        rows.append((len(rows), " ".join(base)))
+        for _ in range(6):
+            new = list(base)
+            for at in rng.sample(range(len(new)), max(1, len(new) // rng.choice((20, 40, 60, 90)))):
+                new[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(new)))
+    return rows
+
+
+def test_links_are_all_pairs(spark, odd_docs, no_docs):
+    rows = near_copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(components(J.links(docs)).collect())
+    want = slow_classes(rows)
+    assert {d: got.get(d, d) for d, _ in rows} == want and len(set(want.values())) < len(rows) - 12
+    assert J.links(no_docs).count() == 0
+    assert {(r.u, r.v) for r in J.links(odd_docs).collect() if r.u != r.v} >= {(2, 1), (13, 6)}
+
+
+def test_stage_removes_copies_that_fingerprints_miss(spark, sf):
+    rows = near_copies()
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id for r in P.near_dedup(spark, docs, sf).collect()}
+    assert left <= {d for d, c in slow_classes(rows).items() if d == c}
