@@ -17,7 +17,7 @@ from panelyard.llm.components import components
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.kept(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.kept(docs, table(spark, sf_dir, "labels"), nested=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

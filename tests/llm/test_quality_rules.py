@@ -68,3 +68,16 @@ def test_cutoffs_keep_their_promise(spark):
     assert lost == [d for d in range(4000) if d % 400 == 0 and 0.4 > cut]
     assert all(not got[d].kept and got[d].rejected_by == "symbols" for d in range(4000, 4200))
     assert got[9000].kept
+
+
+def test_nested_sets_reject_junk_of_small_strata(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60)), "de") for i in range(300)]
+    rows += [(i, "#### " * 20 + " ".join(f"w{i}x{j}" for j in range(60)), "de") for i in range(300, 320)]
+    rows += [(i, t, "fr") for i, t, _ in rows[:100]]
+    docs = spark.createDataFrame([(at, t, lang) for at, (_, t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    labels = docs.filter("lang = 'fr' or doc_id < 300").select("doc_id", F.lit(1).alias("quality"))
+    left = {r.doc_id for r in Q.kept(docs, labels, nested=True).collect()}
+    assert left == set(range(420)) - set(range(300, 320))
+    # 100 good documents are too few for the promise: 0.98 ** 100 is above the error level.
+    found = {r.stratum: r for r in Q.cutoffs(Q.counts(docs.withColumnRenamed("lang", "stratum")).withColumn("base_failed", F.lit(False)), labels, nested=True).collect()}
+    assert found["fr"].cut_symbols is None and found["de"].cut_symbols == Q.RULES["symbols"][1][-1]
