@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -35,7 +36,22 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of ``store`` whose successors are written, and have Spark's cleaner remove shuffles that nothing reads any more.
+
+    The cleaner acts on what the driver's garbage collection finds, so one is asked for.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
 def words(text: Column) -> Column:

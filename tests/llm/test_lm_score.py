@@ -1,5 +1,6 @@
 import math
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
@@ -34,11 +35,24 @@ def check(docs, order=2, least=2, **sizes):
 
 def test_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    check(docs)
+    check(docs, 3)
     check(docs, 3, 2, block=5000, part=3000)
+    check(docs, 2, 3, block=20_000, part=9000)
     check(docs.repartition(5), 1, 1, block=700, part=500)
 
 
+def test_intermediate_tables_go(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    seen = []
+    real = M.store
+    M.store = lambda df, name: seen.append(real(df, name)) or seen[-1]
+    try:
+        M.score(docs, 4, block=5000).count()
+    finally:
+        M.store = real
+    assert [Path(s.stored_at.removeprefix("file:")).exists() for s in seen] == [False] * (len(seen) - 1) + [True]
+
+
 def test_odd(odd_docs, no_docs):
     check(odd_docs)
     check(odd_docs, 4, 1, block=50, part=40)
