@@ -64,5 +64,16 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

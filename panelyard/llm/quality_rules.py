@@ -1,19 +1,16 @@
 """Quality rules whose cutoffs are chosen under a guarantee on false rejection.
 
 Every document gets counts; rates of them are the rules' scores.  For each
-stratum and rule a fixed grid of cutoffs is tested on the labelled documents:
-the number of good ones that a cutoff rejects is held against the exact binomial
-tail for the allowed rate.  Cutoffs are tested from the loosest on and the first
-that fails ends the row (fixed-sequence testing), and the error level is divided
-by the number of rules and strata (Bonferroni).  So with probability 1 -
-``error`` no rule in any stratum rejects more than ``allowed / rules`` of the good
-documents, and all of them no more than ``allowed``.  A stratum with too few labels
-for that keeps everything but what the base rules reject.
-
-With ``nested`` one sequence of combined rule sets is tested instead, all rules at their
-first cutoffs, then all at their second and so on, at the full ``allowed``; the error level is
-divided by the strata alone.  The promise is the same, from about 220 good documents of a
-stratum on if there are four.
+stratum one sequence of rule sets, all rules at their first and loosest cutoffs, then all at
+their second and so on, is tested on the labelled documents: the number of good ones that
+a set rejects is held against the exact binomial tail for the allowed rate.  The first
+set that fails ends the sequence (fixed-sequence testing, which needs no correction along it), and
+the error level is divided by the number of strata that could pass at all: the least p-value a
+stratum can have follows from its number of labels alone, and one that is above its share of the
+error level needs none (Tarone's correction).  So with probability 1 - ``error`` the rules
+reject no more than ``allowed`` of the good documents of any stratum.  At the default rates
+that takes 149 good labelled documents if only one stratum has as many, 217 if four do; a
+stratum with too few keeps everything but what the base rules reject.
 
 DataFrame functions only; a text is read once and nothing but counts is shuffled.
 """
@@ -23,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import NOT_SPACE, SPACE, let, store, words
+from ._shared import NOT_SPACE, SPACE, let, store, unused, words
 
 SYMBOLS = "#*$%&|<>"
 #: Rule: (score as SQL over the counts, cutoffs from loose to strict). A score above the cutoff rejects.
@@ -99,31 +96,25 @@ def _tail(n: Column, k: Column, rate: float) -> Column:
     return F.when(k >= n * rate, 1.0).when(k == 0, F.exp(first)).otherwise(F.exp(sums))
 
 
-def cutoffs(counted: DataFrame, labels: DataFrame, allowed: float = ALLOWED, error: float = ERROR, rules: dict = RULES, nested: bool = False) -> DataFrame:
+def rule_sets(rules: dict = RULES) -> list[dict]:
+    """The sequence of rule sets, each with a cutoff for every rule; rules with fewer cutoffs stay at their last."""
+    return [{rule: cuts[min(i, len(cuts) - 1)] for rule, (_, cuts) in rules.items()} for i in range(max(len(cuts) for _, cuts in rules.values()))]
+
+
+def _rejects(own: dict, rules: dict) -> str:
+    return " or ".join(f"{rules[rule][0]} > {cut}" for rule, cut in own.items())
+
+
+def cutoffs(counted: DataFrame, labels: DataFrame, allowed: float = ALLOWED, error: float = ERROR, rules: dict = RULES) -> DataFrame:
     """(stratum, a column for each rule): the strictest cutoffs under the guarantee, null where none holds."""
     good = labels.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").alias("_q")).filter("_q = 1")
     held = counted.filter("not base_failed").join(good, F.col("doc_id") == F.col("_id"), "left_semi")
-    if nested:
-        return _nested(held, allowed, error, rules)
-    grid = [(rule, i, cut) for rule, (_, cuts) in rules.items() for i, cut in enumerate(cuts)]
-    wide = held.groupBy("stratum").agg(F.count("*").alias("n"), *[
-        F.count_if(F.expr(rules[rule][0]) > cut).alias(f"_{rule}_{i}") for rule, i, cut in grid])
-    tests = wide.withColumn("_strata", F.count("*").over(Window.partitionBy())).select("stratum", "n", "_strata", F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("i"), F.lit(cut).alias("cut"), F.col(f"_{rule}_{i}").alias("k")) for rule, i, cut in grid])).alias("t"))
-    p = _tail(F.col("n"), F.col("t.k"), allowed / len(rules))
-    holds = (p <= F.lit(error / len(rules)) / F.col("_strata")).cast("int")
-    chain = F.min("holds").over(Window.partitionBy("stratum", "t.rule").orderBy("t.i").rowsBetween(Window.unboundedPreceding, 0))
-    tests = tests.withColumn("holds", holds).withColumn("holds", chain)
-    return tests.groupBy("stratum").agg(*[
-        F.min(F.when((F.col("t.rule") == rule) & (F.col("holds") == 1), F.col("t.cut"))).alias(f"cut_{rule}") for rule in rules])
-
-
-def _nested(held: DataFrame, allowed: float, error: float, rules: dict) -> DataFrame:
-    """``cutoffs`` by one sequence of combined rule sets; rules with fewer cutoffs stay at their last."""
-    sets = [{rule: cuts[min(i, len(cuts) - 1)] for rule, (_, cuts) in rules.items()} for i in range(max(len(cuts) for _, cuts in rules.values()))]
-    wide = held.groupBy("stratum").agg(F.count("*").alias("n"), *[
-        F.count_if(F.expr(" or ".join(f"{rules[rule][0]} > {cut}D" for rule, cut in own.items()))).alias(f"_{i}") for i, own in enumerate(sets)])
-    tests = wide.withColumn("_strata", F.count("*").over(Window.partitionBy()))
+    sets = rule_sets(rules)
+    wide = held.groupBy("stratum").agg(F.count("*").alias("n"), *[F.count_if(F.expr(_rejects(own, rules))).alias(f"_{i}") for i, own in enumerate(sets)])
+    # One row for each stratum.
+    least = F.sort_array(F.collect_list(F.pow(F.lit(1 - allowed), F.col("n"))).over(Window.partitionBy()))
+    strata = F.array_min(F.filter(F.sequence(F.lit(1), F.size("_least")), lambda m: F.coalesce(F.get("_least", m) > F.lit(error) / m, F.lit(True))))
+    tests = wide.withColumn("_least", least).withColumn("_strata", strata)
     holds, by = F.lit(True), {rule: F.lit(None).cast("double") for rule in rules}
     for i, own in enumerate(sets):
         holds = holds & (_tail(F.col("n"), F.col(f"_{i}"), allowed) <= F.lit(error) / F.col("_strata"))
@@ -138,14 +129,15 @@ def row_key(stratum: str = "lang") -> Column:
 
 def kept(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, as they are.  Texts move once, next to the keys of rejected rows."""
+    id_, key = unused(docs, "_id", "_key")
     gone = store(judge(docs, labels, stratum, keep=True, **options).filter("not kept").select(
-        F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).distinct(), "rejected")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (row_key(stratum) == F.col("_key"))
+        F.col("doc_id").alias(id_), F.col("row_key").alias(key)).distinct(), "rejected")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (row_key(stratum) == F.col(key))
     return docs.join(gone.hint("shuffle_hash"), same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", least: int = 50, repeats: int = 50, keep: bool = False,
-          allowed: float = ALLOWED, error: float = ERROR, rules: dict = RULES, nested: bool = False) -> DataFrame:
+          allowed: float = ALLOWED, error: float = ERROR, rules: dict = RULES) -> DataFrame:
     """doc_id, the counts, base_failed, rejected_by and kept for every row of ``docs``; with ``keep`` also ``row_key``.
 
     base_failed: fewer than ``least`` words, or more than ``repeats`` per cent of them in
@@ -157,7 +149,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", least: int
     held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "text", *([row_key(stratum)] if keep else []))
     failed = (F.col("n_words") < least) | (F.col("n_repeat_words") * 100 > F.col("n_words") * repeats)
     counted = store(counts(held, ["row_key"] if keep else []).withColumn("base_failed", failed), "counts")
-    found = store(cutoffs(counted, labels, allowed, error, rules, nested), "cutoffs")
+    found = store(cutoffs(counted, labels, allowed, error, rules), "cutoffs")
     judged = counted.join(found.withColumnRenamed("stratum", "_stratum"), F.col("stratum") == F.col("_stratum"), "left")
     by = F.when(F.col("base_failed"), "base")
     for rule, (score, _) in rules.items():
@@ -168,10 +160,9 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", least: int
 
 def sql(allowed: float = ALLOWED, error: float = ERROR, rules: dict = RULES) -> str:
     """The default query as DuckDB SQL; the binomial tail is summed from log-gamma terms."""
-    rate = allowed / len(rules)
-    tests = " union all ".join(
-        f"select stratum, '{rule}' as rule, {i} as i, {cut}::double as cut, count(*) as n, count_if({score} > {cut})::bigint as k from held group by stratum"
-        for rule, (score, cuts) in rules.items() for i, cut in enumerate(cuts))
+    sets = rule_sets(rules)
+    tests = " union all ".join(f"select stratum, {i} as i, count(*) as n, count_if({_rejects(own, rules)})::bigint as k from held group by stratum" for i, own in enumerate(sets))
+    cuts = " union all ".join(f"select {i} as i, '{rule}' as rule, {cut}::double as cut" for i, own in enumerate(sets) for rule, cut in own.items())
     by = " ".join(f"when {score} > (select min(cut) from chosen x where x.stratum = c.stratum and x.rule = '{rule}') then '{rule}'" for rule, (score, _) in rules.items())
     return f"""
 with d as (
@@ -189,13 +180,15 @@ counted as (
   from d left join again using (doc_id)),
 c as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted),
 held as (select * from c where not base_failed and doc_id in (select doc_id from labels group by 1 having min(quality) = 1)),
+sizes as (select stratum, count(*) as n from held group by 1),
 tests as ({tests}),
 tails as (
-  select *, case when k >= n * {rate} then 1 else (
-    select sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}) + (n - j) * ln(1 - {rate}))) from (select unnest(generate_series(0, k)) as j)) end as p,
-    (select count(distinct stratum) from held) as strata from tests),
-chain as (select *, min((p <= {error} / {len(rules)} / strata)::int) over (partition by stratum, rule order by i) as holds from tails),
-chosen as (select * from chain where holds = 1)
+  select *, case when k >= n * {allowed} then 1 else (
+    select sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({allowed}) + (n - j) * ln(1 - {allowed}))) from (select unnest(generate_series(0, k)) as j)) end as p,
+    (select min(m) from range(1, 1 + (select count(*) from sizes)) r(m) where (select count(*) from sizes where pow({1 - allowed}, n) <= {error} / m) <= m) as strata from tests),
+chain as (select *, min((p <= {error} / strata)::int) over (partition by stratum order by i) as holds from tails),
+last as (select stratum, max(i) as i from chain where holds = 1 group by 1),
+chosen as (select stratum, rule, cut from last join ({cuts}) using (i))
 select *, rejected_by is null as kept from (
   select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_shouts, n_lines, base_failed,
     case when base_failed then 'base' {by} end as rejected_by from c)"""
