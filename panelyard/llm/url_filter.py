@@ -1,4 +1,4 @@
-"""URL filters: host and path rules, and exact host lists by a cascade of Bloom filters.
+"""URL filters: host and path rules, and exact domain lists by a cascade of Bloom filters.
 
 The cascade knows the corpus's complete key universe (all different hosts).
 Level 0 encodes the listed keys; level 1 the unlisted keys that level 0 lets
@@ -6,15 +6,18 @@ through by mistake; level 2 the listed keys that level 1 lets through, and so on
 until no mistakes are left.  A key is then listed or not according to the first
 level that stops it, exactly, and pages are judged by expressions over the
 filters' words without any join.  Filters are built by aggregation over the
-universe; their size follows from the number of listed keys and is checked
-against ``max_bytes`` before anything is built.  Beyond it the list is joined
-instead, with the pages' side salted, since a host may have a third of them.
+universe; their size follows from the number of listed keys.
+
+What a task holds of a cascade is bounded by ``max_bytes``: where the listed keys need more,
+hosts are dealt into as many parts as that takes by a hash, each part has a cascade of its
+own, and pages pass them one after another.
 """
 
 from __future__ import annotations
 
 import math
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,17 +29,20 @@ RULES = (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
 )
-#: Hosts listed by default, with their usual subdomains.
-LISTED = tuple(
-    f"{sub}{name}.example.{top}" for name in ("spam-farm", "cheap-pills", "casino-win", "free-bets", "ads-track", "adult-x") for top in ("com", "net", "org") for sub in ("", "www.", "m.", "blog."))
-#: Most bytes of all levels together that go into a plan.
+#: Domains listed by default.
+LIST = Path(__file__).with_name("lists") / "blocked_domains.txt"
+#: Most bytes of a cascade, about.
 MAX_BYTES = 8 << 20
-#: Shares over which a host's pages are dealt if the list must be joined.
-SALTS = 64
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def domains(path: Path = LIST) -> list[str]:
+    """The lines of a list, without blank ones and comments."""
+    lines = (x.strip() for x in path.read_text().splitlines())
+    return [x for x in lines if x and not x.startswith("#")]
+
+
 def host(url: Column) -> Column:
     """The host after the first ``://``, A-Z lower-cased; empty for null or without ``://``."""
     return F.translate(F.regexp_extract(F.coalesce(url, F.lit("")), _PARTS, 1), _UPPER, _UPPER.lower())
@@ -59,23 +65,25 @@ def match(host: Column, path: Column, rules=RULES) -> Column:
 class Cascade:
     """Levels of Bloom filters over a universe of keys; ``listed(key)`` is an exact test for its keys."""
 
-    def __init__(self, universe: DataFrame, max_bytes: int = MAX_BYTES):
-        """``universe``: different keys ``key`` (string) with ``listed`` (boolean). Raises OverflowError above ``max_bytes``."""
+    def __init__(self, universe: DataFrame):
+        """``universe``: different keys ``key`` (string) with ``listed`` (boolean)."""
         self.levels: list[tuple[DataFrame, int, int]] = []
         ours, others = universe.filter("listed").select("key"), universe.filter("not listed").select("key")
-        n_ours, n_others, spent = ours.count(), others.count(), 0
+        n_ours, n_others = ours.count(), others.count()
         while n_ours:
-            wanted = n_ours / (math.sqrt(2) * n_others) if n_others and not self.levels else 0.5
-            hashes = max(1, round(-math.log2(min(0.5, wanted))))
-            words = max(1, math.ceil(n_ours * hashes / math.log(2) / 64))
-            spent += 8 * words
-            if spent > max_bytes:
-                raise OverflowError(f"the cascade needs more than {max_bytes} bytes")
+            hashes, words = self.shape(n_ours, n_others if not self.levels else 0)
             self.levels.append((store(self._words(ours, len(self.levels), hashes, words), "level"), hashes, words))
             wrong = store(others.filter(self._holds(F.col("key"), len(self.levels) - 1)), "wrong")
             ours, others = wrong, ours
             n_ours, n_others = wrong.count(), n_ours
 
+    @staticmethod
+    def shape(n_ours: int, n_others: int) -> tuple[int, int]:
+        """(hash functions, words) of a level; without a number of others it lets half of them through."""
+        wanted = n_ours / (math.sqrt(2) * n_others) if n_others else 0.5
+        hashes = max(1, round(-math.log2(min(0.5, wanted))))
+        return hashes, max(1, math.ceil(n_ours * hashes / math.log(2) / 64))
+
     @staticmethod
     def _bits(key: Column, level: int, hashes: int, words: int) -> list[Column]:
         return [F.pmod(F.xxhash64(key, F.lit(level), F.lit(j)), F.lit(64 * words)) for j in range(hashes)]
@@ -101,54 +109,60 @@ class Cascade:
         return out
 
 
-def _by_join(rows: DataFrame, listed: DataFrame) -> DataFrame:
-    """``_listed`` by a join that deals each host's rows over SALTS shares."""
-    many = listed.select(F.col("key").alias("_key"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
-    salt = F.pmod(F.xxhash64("page_id", "_url"), F.lit(SALTS)).cast("int")
-    joined = rows.withColumn("_salt", salt).join(many, (F.col("host") == F.col("_key")) & (F.col("_salt") == F.col("_s")), "left")
-    return joined.withColumn("_listed", F.col("_key").isNotNull())
+def _universe(pages: DataFrame, listed: DataFrame) -> DataFrame:
+    """(key, listed): all different hosts, and whether the host or a domain it lies in is in ``listed`` (key)."""
+    hosts = store(pages.select(host(F.col("url").cast("string")).alias("key")).distinct(), "hosts")
+    labels = F.split("key", r"\.")
+    inside = hosts.select("key", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))).alias("domain"))
+    wanted = listed.select(F.col("key").cast("string").alias("domain")).filter("domain is not null").distinct()
+    named = inside.join(wanted, "domain", "left_semi").select("key").distinct().withColumn("listed", F.lit(True))
+    return store(hosts.join(named, "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed")), "universe")
 
 
 def judge(pages: DataFrame, listed: DataFrame | None = None, rules=RULES, max_bytes: int = MAX_BYTES) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of ``pages``.
 
-    The verdict is the longest fitting rule's; without one it is ``block`` if the
-    host is listed, else ``allow``.  ``listed`` has hosts in ``key`` (null and repeated ones are
-    ignored); by default LISTED.  Null urls and such without ``://`` have empty host and
-    path and are allowed unless the empty host is listed.  Repeated rows stay.
+    The verdict is the longest fitting rule's; without one it is ``block`` if the host or a
+    domain it lies in is listed, else ``allow``.  ``listed`` has domains in ``key`` (null and repeated
+    ones are ignored); by default those of LIST.  Null urls and such without ``://`` have empty host and
+    path and are allowed unless the empty host is listed.  Repeated rows stay; an empty table gives an empty result.
     """
-    spark = pages.sparkSession
     if listed is None:
-        listed = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in LISTED])).alias("key"))
-    wanted = listed.select(F.col("key").cast("string").alias("key")).filter("key is not null").distinct()
+        listed = pages.sparkSession.range(1).select(F.explode(F.array(*[F.lit(x) for x in domains()])).alias("key"))
+    universe = _universe(pages, listed)
+    n, ours = universe.agg(F.count("*"), F.count_if("listed")).first()
+    # The levels after the first are less than twice as many bits as there are listed keys.
+    bits = 64 * Cascade.shape(max(1, ours), n - ours)[1] + 2 * ours
+    parts = max(1, math.ceil(bits / 8 / max_bytes))
     url = F.col("url").cast("string")
-    rows = pages.select("page_id", host(url).alias("host"), path(url).alias("path"), url.alias("_url"))
-    named = wanted.select("key", F.lit(True).alias("listed"))
-    universe = store(
-        pages.select(host(url).alias("key")).distinct().join(named, "key", "left")
-        .select("key", F.coalesce("listed", F.lit(False)).alias("listed")), "universe")
-    try:
-        rows = rows.withColumn("_listed", Cascade(universe, max_bytes).listed(F.col("host")))
-    except OverflowError:
-        rows = _by_join(rows, store(universe.filter("listed").select("key"), "listed"))
     rule = match(F.col("host"), F.col("path"), rules)
-    verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("_listed"), "block").otherwise("allow"))
-    return rows.withColumn("_rule", rule).select("page_id", "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"))
+
+    def judged(part: int) -> DataFrame:
+        own = lambda df, key: df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(parts)), F.lit(parts)) == part) if parts > 1 else df
+        rows = own(pages.select("page_id", host(url).alias("host"), path(url).alias("path")), "host")
+        rows = rows.withColumn("_listed", Cascade(own(universe, "key")).listed(F.col("host"))).withColumn("_rule", rule)
+        verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("_listed"), "block").otherwise("allow"))
+        out = rows.select("page_id", "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"))
+        return store(out, "judged") if parts > 1 else out
+
+    return reduce(DataFrame.union, [judged(part) for part in range(parts)])
 
 
-def sql(rules=RULES, listed=LISTED) -> str:
+def sql(rules=RULES) -> str:
     """The default query as DuckDB SQL."""
     ordered = sorted(rules, key=lambda r: -len(r[1] + r[2]))
     fits = [f"(host = '{h}' or host like '%.{h}') and starts_with(path, '{p}')" for _, h, p in ordered]
     rule = " ".join(f"when {f} then '{h}{p}'" for f, (_, h, p) in zip(fits, ordered, strict=True))
     verdict = " ".join(f"when {f} then '{v}'" for f, (v, _, _) in zip(fits, ordered, strict=True))
-    names = ", ".join(f"'{x}'" for x in listed)
+    names = ", ".join(f"('{x}')" for x in domains())
     return f"""
 with parts as (
   select page_id,
     translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{_UPPER}', '{_UPPER.lower()}') as host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) as path
-  from pages)
+  from pages),
+listed as (select distinct host from parts, (values {names}) as l(d) where host = d or ends_with(host, '.' || d))
 select page_id, host, path, case {rule} end as rule,
-  case {verdict} when host in ({names}) then 'block' else 'allow' end as verdict
+  case {verdict} when host in (select host from listed) then 'block' else 'allow' end as verdict
 from parts"""
