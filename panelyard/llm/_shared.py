@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,17 +42,19 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def drop(*tables: DataFrame) -> None:
+def drop(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete tables of ``store`` whose successors are written, and have Spark's cleaner remove shuffles that nothing reads any more.
 
-    The cleaner acts on what the driver's garbage collection finds, so one is asked for.
+    The cleaner acts on what the driver's garbage collection finds, so it is asked for, twice, as what
+    the first one finds may hold more.
     """
     for df in tables:
-        spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    tables[0].sparkSession._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def words(text: Column) -> Column:

@@ -101,10 +101,13 @@ class _Block:
     def __init__(self, row: dict, least: int):
         self.row, self.least = row, least
         self.lengths = np.array(row["lengths"], np.int64)
-        ids = _unpacked(row["ids"], np.uint32)
-        self.hashes = [np.maximum(_unpacked(row["words"], np.uint64), np.uint64(1))[ids]]
-        self.place = np.arange(len(ids)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        self.counts = [_unpacked(c, np.int64) for c in row["counts"]]
+        self.ids, self.words = _unpacked(row["ids"], np.uint32), _unpacked(row["words"], np.uint64)
+        self.hashes = [self.words[self.ids]]
+        self.place = np.arange(len(self.ids)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.counts = [_unpacked(c, np.uint64) for c in row["counts"]]
+        if self.counts:
+            self.of_words = self.counts[0]
+            self.counts[0] = self.of_words[self.ids]
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(places, hashes) of the n-grams of order ``n`` whose counts are asked for."""
@@ -126,19 +129,26 @@ class _Block:
 
     def joined(self, n: int, totals: np.ndarray) -> None:
         """Take the totals of the different n-grams of order ``n``, in the order of their hashes."""
+        if n == 1:
+            self.of_words = totals[np.unique(self.words, return_inverse=True)[1]]
+            self.counts.append(self.of_words[self.ids])
+            return
         at, h = self.grams(n)
-        _, which = np.unique(h, return_inverse=True)
-        counts = np.zeros(len(self.place), np.int64)
-        counts[at] = totals[which]
+        counts = np.zeros(len(self.place), np.uint64)
+        counts[at] = totals[np.unique(h, return_inverse=True)[1]]
         self.counts.append(counts)
 
+    def packed(self) -> list[bytes]:
+        """The counts, of order 1 for each word, of the others for each place."""
+        return [_packed(c) for c in (self.of_words, *self.counts[1:])]
+
     def scores(self, words_in_all: int) -> np.ndarray:
         """The logarithm of each word's score."""
         out, order = np.zeros(len(self.place)), len(self.counts)
         open_ = np.ones(len(out), bool)
         for n in range(order, 0, -1):
             c = self.counts[n - 1]
-            before = np.full(len(c), words_in_all) if n == 1 else np.r_[np.zeros(min(1, len(c)), np.int64), self.counts[n - 2][:-1]]
+            before = np.full(len(c), words_in_all) if n == 1 else np.r_[np.zeros(min(1, len(c)), np.uint64), self.counts[n - 2][:-1]]
             take = open_ & (c >= (1 if n == 1 else self.least))
             out[take] = np.log10(c[take] / before[take]) + (order - n) * np.log10(BACKOFF)
             open_ &= ~take
@@ -176,7 +186,7 @@ def _totals(rows: pd.DataFrame) -> pd.DataFrame:
     counts = np.concatenate([_unpacked(x, np.uint32) for x in rows.counts]).astype(np.int64)
     ends = np.cumsum([len(x) for x in hashes])
     _, which = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.bincount(which, weights=counts).astype(np.int64)[which]
+    total = np.bincount(which, weights=counts).astype(np.uint64)[which]
     return pd.DataFrame({"order": rows.order, "part": rows.part, "block": rows.block, "totals": [_packed(x) for x in np.split(total, ends[:-1])]})
 
 
@@ -187,14 +197,14 @@ def _known(batches, orders, least):
             block = _Block(row, least)
             back = sorted(((t["order"], t["part"], t["totals"]) for t in row["totals"] or ()), key=lambda t: t[:2])
             for n in orders:
-                block.joined(n, np.concatenate([np.empty(0, np.int64), *[_unpacked(t[2], np.int64) for t in back if t[0] == n]]))
+                block.joined(n, np.concatenate([np.empty(0, np.uint64), *[_unpacked(t[2], np.uint64) for t in back if t[0] == n]]))
             yield block, max(orders)
 
 
 def _level(batches, orders, least):
     """Blocks with their counts; n: n-grams of the next order that will be asked for."""
     for block, n in _known(batches, orders, least):
-        row = block.row | {"counts": [_packed(c) for c in block.counts], "n": len(block.grams(n + 1)[0])}
+        row = block.row | {"counts": block.packed(), "n": len(block.grams(n + 1)[0])}
         yield pa.RecordBatch.from_pydict({f.name: [row[f.name]] for f in _BLOCKS}, _BLOCKS)
 
 
@@ -212,6 +222,7 @@ def score(docs: DataFrame, order: int = ORDER, least: int = LEAST, block: int =
     without words score 0 and have a null mean; null doc_ids and repeated rows stay and
     count; an empty table gives an empty result.  Counts are of all words of all rows.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     blocks = store(rows.mapInArrow(partial(_blocks, limit=block), BLOCKS), "blocks")
     words = asked = blocks.agg(F.sum("n")).first()[0] or 0
@@ -224,13 +235,15 @@ def score(docs: DataFrame, order: int = ORDER, least: int = LEAST, block: int =
         grams = blocks.mapInArrow(partial(_exploded, orders=orders, parts=max(1, -(-asked // part)), least=least), GRAMS)
         counted = grams.groupBy("order", "part").applyInPandas(totals, "order int, part int, block string, totals binary")
         # As much as the block has different n-grams, at about a byte each.
-        back = counted.groupBy("block").agg(F.collect_list(F.struct("order", "part", "totals")).alias("totals"))
+        back = store(counted.groupBy("block").agg(F.collect_list(F.struct("order", "part", "totals")).alias("totals")), "totals")
+        del grams, counted
+        drop(spark)
         ready = blocks.join(back, "block", "left").select(*blocks.columns, "totals")
         if orders is not steps[-1]:
             after = store(ready.mapInArrow(partial(_level, orders=orders, least=least), BLOCKS), "counted")
             asked = after.agg(F.sum("n")).first()[0] or 0
-            del grams, counted, back, ready
-            drop(blocks)
+            del ready
+            drop(spark, blocks, back)
             blocks = after
     out = ready.mapInArrow(partial(_scored, orders=orders, least=least, words_in_all=words), "doc_id long, n_words long, log10_score double")
     return out.select("doc_id", "n_words", "log10_score", (F.col("log10_score") / F.when(F.col("n_words") > 0, F.col("n_words"))).alias("mean_log10"))
