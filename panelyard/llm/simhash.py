@@ -12,8 +12,9 @@ most ``radius`` differing bits leave some direction orthogonal to all of them, s
 each pair within the radius agrees on all kept bits of at least one table: no
 pair is lost, whatever the data.  With q = 2 there are 15 tables of about 34
 bits for radius 3.  Buckets with more than ``bucket`` distinct fingerprints are
-dealt again by the 156 tables of q = 5, which keep about 51 bits; what still
-shares a bucket there is compared in bounded blocks.
+dealt again by the 156 tables of q = 5, which keep 51 bits or 52.  Distinct fingerprints that
+share a bucket there differ in the other 13 alone: there are 8,192 of them at most, whatever the
+data, so a task holds no more.
 
 Exact copies meet before any search: only distinct fingerprints are dealt.  In a
 bucket no pairs are listed; a search through the bucket finds its linked groups,
@@ -51,12 +52,16 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     else:
         shingles = map(b" ".join, zip(*(found[i:] for i in range(width)), strict=False))
     count = max(1, len(found) - width + 1)
-    hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64, count)
-    votes = np.zeros(BITS, np.int64)
-    for at in range(0, count, 4096):
+    return votes(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64, count))
+
+
+def votes(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; 0 without any."""
+    total = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 4096):
         part = hashes[at:at + 4096].view(np.uint8).reshape(-1, 8)
-        votes += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > count, bitorder="little").view(np.uint64)[0])
+        total += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(total * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def _fingerprints(batches, width):

@@ -94,3 +94,7 @@ def test_components_of_a_long_path(spark):
     got = dict(components(edges).collect())
     assert got == {i: 0 for i in range(201)} | {499: 499, 500: 499}
     assert components(edges.filter("u < 0")).count() == 0
+
+
+def test_second_deal_is_bounded():
+    assert max(64 - m.bit_count() for m in simhash.masks(3, 5)) <= 13
