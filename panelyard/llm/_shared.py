@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: White space that separates words, as a Java regular expression.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
+#: Bytes of deleted tables from which the shuffles that made them are cleared at once.
+WORTH = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,15 +48,19 @@ def drop(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete tables of ``store`` whose successors are written, and have Spark's cleaner remove shuffles that nothing reads any more.
 
     The cleaner acts on what the driver's garbage collection finds, so it is asked for, twice, as what
-    the first one finds may hold more.
+    the first one finds may hold more; small tables are not worth it.
     """
+    size = 0
     for df in tables:
         path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.2)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        size += files.getContentSummary(path).getLength()
+        files.delete(path, True)
+    if not tables or size >= WORTH:
+        for _ in range(2):
+            gc.collect()
+            spark._jvm.System.gc()
+            time.sleep(0.2)
 
 
 def words(text: Column) -> Column:

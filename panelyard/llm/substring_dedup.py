@@ -1,16 +1,17 @@
 """Substring dedup by level-wise doubling.
 
 A window is a run of consecutive words of one document.  The first level looks
-at windows of half the wanted length; only those that repeat there are extended
-to twice the length, and so on until no candidates survive (or the length at
-which the caller removes text is reached: longer repeats lie inside those).
+at windows of half the wanted length; those that repeat there are extended to twice
+that, the wanted length, and windows that repeat at any length are extended to twice it where the
+window that follows repeats too, until no candidates survive.  What repeats at the wanted length
+is removed (longer repeats lie inside it); the last length says how long a document's repeats get.
 
 Window hashes double as well: the hash of 2k words mixes two hashes of k words.
 On the first level a document sends, for each window of the next level, only the
 smallest of the first-level hashes inside it (equal windows have equal smallest
 hashes, so nothing is lost), which is about one hash in thirteen.  Texts that
 repeat as a whole meet before, by their digest; only the one with the smallest
-doc_id goes on.  What repeats is decided by counting with map-side combining and
+doc_id goes on.  Tables and shuffles of a finished level go.  What repeats is decided by counting with map-side combining and
 by joins; no group of copies is gathered in one task.
 """
 
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import store
+from ._shared import drop, store
 
 #: Words kept in a worker's cache of word hashes.
 CACHE = 200_000
@@ -112,58 +113,51 @@ def _sent(batches, length):
             ["doc_id", "tkey", "n_words", "digest", "anchors"])
 
 
-def _extended(batches, length, every=False):
-    """Windows of the full length around repeated halves: a row for each document and different window, or for every place."""
+def _extended(batches, length):
+    """Windows of the full length around repeated halves: a row for every place."""
     words, other = _Words(1), _Words(2)
     cat = np.concatenate
     for batch in batches:
-        rows, ones, twos, firsts = [], [], [], []
+        rows, ones, twos, places = [], [], [], []
         for i, (text, anchors) in enumerate(zip(_texts(batch, 2), batch.column(3), strict=True)):
             found = text.split()
             again = np.asarray(anchors.values).view(np.uint64)
             at = np.flatnonzero(np.isin(_halves(found, words, length), again))
-            one = window_hashes(words(found), length)[at]
-            first = np.arange(len(one)) if every else np.unique(one, return_index=True)[1]
-            ones.append(one[first])
-            twos.append(window_hashes(other(found), length)[at[first]])
-            firsts.append(at[first].astype(np.int64))
-            rows.append(np.full(len(first), i, np.int64))
+            ones.append(window_hashes(words(found), length)[at])
+            twos.append(window_hashes(other(found), length)[at])
+            places.append(at.astype(np.int64))
+            rows.append(np.full(len(at), i, np.int64))
         if rows:
             of = pa.array(cat(rows))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(of), batch.column(1).take(of), pa.array(cat(ones).view(np.int64)), pa.array(cat(twos).view(np.int64)), pa.array(cat(firsts))],
+                [batch.column(0).take(of), batch.column(1).take(of), pa.array(cat(ones).view(np.int64)), pa.array(cat(twos).view(np.int64)), pa.array(cat(places))],
                 ["doc_id", "tkey", "h1", "h2", "at"])
 
 
-def covered(found: list[bytes], firsts: list[int], length: int, words: _Words) -> np.ndarray:
-    """Which words lie in a window equal to one of those that start at ``firsts``."""
-    n = len(found)
-    one = window_hashes(words(found), length)
-    hit = np.flatnonzero(np.isin(one, one[np.asarray(firsts, np.int64)]))
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, hit, 1)
-    np.add.at(edge, hit + length, -1)
+def covered(n: int, places: list[int], length: int) -> np.ndarray:
+    """Which of ``n`` words lie in a window that starts at one of ``places``."""
+    at = np.asarray(places, np.int64)
+    edge = np.bincount(at, minlength=n + 1) - np.bincount(at + length, minlength=n + 1)
     return np.cumsum(edge[:n]) > 0
 
 
 def _cut(batches, length, render):
-    words = _Words(1)
     names, kinds = render.fields
     for batch in batches:
         out = []
         texts = batch.column(1).cast(pa.large_binary())
-        for text, firsts, whole in zip(texts, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+        for text, places, whole in zip(texts, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             raw = text.as_py()
             found = (raw or b"").split()
             if whole:
                 gone = np.ones(len(found), bool)
-            elif firsts:
-                gone = covered(found, firsts, length, words)
+            elif places:
+                gone = covered(len(found), places, length)
             else:
                 gone = np.zeros(len(found), bool)
             out.append(render(raw, found, gone))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]], ["row", *names])
+            [batch.column(0), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], batch.column(4)], ["row", *names, "longest"])
 
 
 def digest_of(raw, found, gone):
@@ -205,13 +199,17 @@ IDS = ["doc_id", "tkey"]
 SENT = "doc_id long, tkey long, n_words long, digest binary, anchors array<long>"
 
 
-def _wider(rows: DataFrame, sent: DataFrame, length: int, every: bool = False) -> DataFrame:
-    """One doubling: halves that several documents have, extended to windows of ``length`` (doc_id, tkey, h1, h2, at)."""
+def _wider(rows: DataFrame, sent: DataFrame, length: int) -> DataFrame:
+    """Halves that several documents have, extended to windows of ``length`` (doc_id, tkey, h1, h2, at)."""
     each = store(sent.select(*IDS, F.explode("anchors").alias("h")), "halves")
     often = store(_shared(each, ["h"]).select("h"), "often")
     again = store(each.join(often, "h").groupBy(*IDS).agg(F.collect_list("h").alias("anchors")), "again")
+    drop(rows.sparkSession, each, often)
     wide = rows.join(again.hint("shuffle_hash"), IDS).select(*IDS, "text", "anchors")
-    return store(wide.mapInArrow(partial(_extended, length=length, every=every), "doc_id long, tkey long, h1 long, h2 long, at long"), "windows")
+    found = store(wide.mapInArrow(partial(_extended, length=length), "doc_id long, tkey long, h1 long, h2 long, at long"), "windows")
+    del wide
+    drop(rows.sparkSession, again)
+    return found
 
 
 def _shared(windows: DataFrame, keys: list[str]) -> DataFrame:
@@ -219,93 +217,121 @@ def _shared(windows: DataFrame, keys: list[str]) -> DataFrame:
     return windows.groupBy(*keys).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("high > low").drop("high")
 
 
-def repeat_levels(docs: DataFrame, length: int = 50) -> DataFrame:
-    """(length, doc_id, tkey, at): windows that several documents have, each at the last length at which it repeats.
+def _levels(found: DataFrame, length: int) -> list[tuple[int, DataFrame]]:
+    """(length, windows that several documents have with the smallest doc_id, low) for each length, doubled until none do.
 
-    Windows of ``length`` that repeat are extended to twice that length where the window that follows
-    repeats too, and again, until no candidates survive.  A longer window's hash comes from its halves'.
+    ``found`` has windows of ``length`` (and is dropped).  A longer window's hash comes from its halves'.
     """
+    out, keys, spark = [], ["h1", "h2"], found.sparkSession
+    while True:
+        now = store(found.join(_shared(found, keys), keys).select(*IDS, *keys, "at", "low"), "level")
+        drop(spark, found)
+        if now.isEmpty():
+            return out
+        out.append((length, now))
+        following = now.select(*IDS, (F.col("at") - length).alias("at"), F.col("h1").alias("g1"), F.col("h2").alias("g2"))
+        pairs = now.join(following, [*IDS, "at"]).select(*IDS, F.xxhash64("h1", "h2", "g1", "g2").alias("h1"), F.xxhash64("h2", "g1", "h1", "g2").alias("h2"), "at")
+        found, length = store(pairs, "pairs"), 2 * length
+        del now, following, pairs
+
+
+def repeat_levels(docs: DataFrame, length: int = 50) -> DataFrame:
+    """(length, doc_id, tkey, at): windows that several documents have, each at the last length at which it repeats."""
     rows = _rows(docs).filter("doc_id is not null").dropDuplicates(IDS)
     sent = store(rows.mapInArrow(partial(_sent, length=length), SENT).filter(F.col("n_words") >= length), "anchors")
-    found = _wider(rows, sent, length, every=True)
-    keys = ["h1", "h2"]
-    now = store(found.join(_shared(found, keys).select(*keys), keys), "level")
-    done = None
-    while not now.isEmpty():
-        following = now.select(*IDS, (F.col("at") - length).alias("at"), F.col("h1").alias("g1"), F.col("h2").alias("g2"))
-        pairs = now.join(following, [*IDS, "at"]).select(*IDS, "at", F.xxhash64("h1", "h2", "g1", "g2").alias("h1"), F.xxhash64("h2", "g1", "h1", "g2").alias("h2"))
-        pairs = store(pairs, "pairs")
-        longer = store(pairs.join(_shared(pairs, keys).select(*keys), keys).select(*IDS, keys[0], keys[1], "at"), "level")
-        last = now.join(longer.select(*IDS, "at"), [*IDS, "at"], "left_anti").select(F.lit(length).cast("long").alias("length"), *IDS, "at")
-        done = last if done is None else done.union(last)
-        now, length = longer, 2 * length
-    return done if done is not None else found.select(F.lit(length).cast("long").alias("length"), *IDS, "at")
+    levels = _levels(_wider(rows, sent, length), length)
+    done = sent.select(F.lit(length).cast("long").alias("length"), *IDS, F.lit(0).cast("long").alias("at")).limit(0)
+    for i, (size, now) in enumerate(levels):
+        last = now if i + 1 == len(levels) else now.join(levels[i + 1][1].select(*IDS, "at"), [*IDS, "at"], "left_anti")
+        done = done.union(last.select(F.lit(size).cast("long").alias("length"), *IDS, "at"))
+    return done
 
 
 def repeated_windows(docs: DataFrame, length: int = 50) -> DataFrame:
-    """(doc_id, tkey, firsts, whole): what each document repeats of documents with a smaller doc_id.
+    """(doc_id, tkey, places, whole, longest): what each document repeats of documents with a smaller doc_id.
 
-    firsts: the first places of its different windows of ``length`` words that also
-    start in such a document; whole: its word sequence is one that such a document
-    has (firsts is then null).  Rows without repeats are absent, and so are those
-    with a null doc_id or fewer words.  tkey is Spark's hash of the text: rows that share a
+    places: where windows of ``length`` words start that also start in such a document; whole: its word
+    sequence is one that such a document has (places is then null); longest: the greatest of ``length``,
+    doubled any number of times, of which a window repeats so.  Rows without repeats are absent, and
+    so are those with a null doc_id or fewer words.  tkey is Spark's hash of the text: rows that share a
     doc_id are judged each by its own text, and never against one another.
     """
     rows = _rows(docs).filter("doc_id is not null")
     sent = store(rows.mapInArrow(partial(_sent, length=length), SENT).filter(F.col("n_words") >= length), "anchors")
-    ids = IDS
     first = store(sent.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
                   .filter("last > first").select("digest", "first"), "first")
-    whole = store(sent.select(*ids, "digest").join(first, "digest").filter("doc_id > first").select(*ids).distinct(), "whole")
-    alone = sent.select(*ids, "anchors").join(whole, ids, "left_anti").dropDuplicates(ids)
-    full = _wider(rows, alone, length)
-    low = store(_shared(full, ["h1", "h2"]), "low")
-    firsts = (full.join(low, ["h1", "h2"]).filter("doc_id > low")
-              .groupBy(*ids).agg(F.collect_set("at").alias("firsts")))
-    return store(firsts.select(*ids, "firsts", F.lit(False).alias("whole")).unionByName(
-        whole.select(*ids, F.lit(None).cast("array<long>").alias("firsts"), F.lit(True).alias("whole"))), "repeats")
+    whole = store(sent.select(*IDS, "n_words", "digest").join(first, "digest").filter("doc_id > first").select(*IDS, "n_words").distinct(), "whole")
+    alone = sent.select(*IDS, "anchors").join(whole, IDS, "left_anti").dropDuplicates(IDS)
+    late = whole.select(*IDS, F.lit(None).cast("long").alias("at"), F.lit(True).alias("whole"),
+                        (F.lit(length) * F.pow(2, F.floor(F.log2(F.col("n_words") / length) + 1e-9))).cast("long").alias("size"))
+    levels = _levels(_wider(rows, alone, length), length)
+    for size, now in levels:
+        at = F.col("at") if size == length else F.lit(None).cast("long")
+        late = late.union(now.filter("doc_id > low").select(*IDS, at, F.lit(False), F.lit(size).cast("long")))
+    # As many places as the document has words at most; a null one is not collected.
+    marks = store(late.groupBy(*IDS).agg(F.collect_list("at").alias("places"), F.max("whole").alias("whole"), F.max("size").alias("longest")), "repeats")
+    drop(docs.sparkSession, sent, first, whole, *[now for _, now in levels])
+    return marks
+
+
+def _marked(docs: DataFrame, length: int, render) -> DataFrame:
+    """``row``, a struct of the columns of ``docs`` but text in their order, the fields of ``render``, and longest."""
+    others = [c for c in docs.columns if c != "text"]
+    marks = repeated_windows(docs, length).select(
+        F.col("doc_id").alias("_d"), F.col("tkey").alias("_t"), F.col("places").alias("_p"), F.col("whole").alias("_w"), F.col("longest").alias("_l"))
+    inner = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("row"), F.col("text").cast("string").alias("text"))
+    at = f"row.c{others.index('doc_id')}"
+    joined = inner.join(
+        marks.hint("shuffle_hash"), (F.col(at).cast("long") == F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left")
+    row = inner.schema["row"].dataType.simpleString()
+    return joined.select("row", "text", "_p", "_w", F.coalesce("_l", F.lit(0)).cast("long").alias("longest")).mapInArrow(
+        partial(_cut, length=length, render=render), f"row {row}, {render.schema}, longest long")
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, render=text_of) -> DataFrame:
     """``docs`` without the words that lie in windows an earlier document has.
 
-    With ``text_of`` the columns of ``docs``, text cut, and n_removed; with
-    ``digest_of`` the columns but text, and n_words, n_removed and kept_sha256.  Windows are
+    With ``text_of`` the columns of ``docs``, text cut, and n_removed and longest (see
+    ``repeated_windows``; 0 without repeats); with ``digest_of`` the columns but text, and n_words, n_removed,
+    kept_sha256 and longest.  Columns of ``docs`` that have these names give way.  Windows are
     judged on the input.  Null or empty texts, texts of fewer words and rows with
-    a null doc_id stay as they are; repeated rows stay.
+    a null doc_id stay as they are; repeated rows stay; an empty table gives an empty result.
     """
-    new = set(render.fields[0])
+    new = [*render.fields[0], "longest"]
     others = [c for c in docs.columns if c != "text"]
-    marks = repeated_windows(docs, length).select(
-        F.col("doc_id").alias("_d"), F.col("tkey").alias("_t"), F.col("firsts").alias("_f"), F.col("whole").alias("_w"))
-    inner = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("row"), F.col("text").cast("string").alias("text"))
-    at = f"row.c{others.index('doc_id')}"
-    joined = inner.join(
-        marks.hint("shuffle_hash"), (F.col(at).cast("long") == F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left")
-    row = inner.schema["row"].dataType.simpleString()
-    cut = joined.select("row", "text", "_f", "_w").mapInArrow(
-        partial(_cut, length=length, render=render), f"row {row}, {render.schema}")
-    kept = [F.col(f"row.c{i}").alias(c) for i, c in enumerate(others) if c not in new]
-    if render is text_of:
-        order = [c for c in docs.columns if c != "n_removed"]
-        return cut.select(*kept, *render.fields[0]).select(*[F.col(f"`{c}`") for c in order], "n_removed")
-    return cut.select(*kept, *render.fields[0])
+    cut = _marked(docs, length, render).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(others) if c not in new], *new)
+    order = [c for c in docs.columns if c == "text" or c not in new] if render is text_of else [c for c in others if c not in new]
+    return cut.select(*[F.col(f"`{c}`") for c in order], *[c for c in new if c not in order])
+
+
+def cut_texts(docs: DataFrame, length: int = 50) -> DataFrame:
+    """The columns of ``docs``, text without repeats as by ``remove_repeats``; n_chars, if there, follows cut texts."""
+    cut, others = _marked(docs, length, text_of), [c for c in docs.columns if c != "text"]
+    column = {c: F.col(f"row.c{i}") for i, c in enumerate(others)} | {"text": F.col("text")}
+    if "n_chars" in column:
+        column["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(column["n_chars"])
+    return cut.select(*[column[c].alias(c) for c in docs.columns])
 
 
 def sql(length: int = 50) -> str:
     """The query's digest as DuckDB SQL, over the windows themselves."""
     return f"""
-with d as (
+with recursive d as (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as l from documents),
 starts as (select doc_id, l, unnest(generate_series(1, len(l) - {length - 1})) as i from d where len(l) >= {length}),
 windows as (select doc_id, i, array_to_string(l[i:i + {length - 1}], ' ') as w from starts),
-late as (
-  select doc_id, i from (select doc_id, i, min(doc_id) over (partition by w) as low from windows) where doc_id > low),
+levels(len, doc_id, i, w, low) as (
+  select {length}, doc_id, i, w, low from (select *, min(doc_id) over (partition by w) as low, max(doc_id) over (partition by w) as high from windows) where high > low
+  union all select len, doc_id, i, w, low from (
+    select *, min(doc_id) over (partition by w) as low, max(doc_id) over (partition by w) as high from (
+      select 2 * a.len as len, a.doc_id, a.i, a.w || ' ' || b.w as w from levels a join levels b on b.doc_id = a.doc_id and b.i = a.i + a.len)) where high > low),
+late as (select distinct doc_id, i from levels where doc_id > low and len = {length}),
+longest as (select doc_id, max(len) as n from levels where doc_id > low group by 1),
 gone as (select distinct doc_id, unnest(generate_series(i, i + {length - 1})) as i from late),
 marked as (select d.doc_id, t.i, d.l[t.i] as w, g.i is not null as gone
   from (select doc_id, l, unnest(generate_series(1, len(l))) as i from d where len(l) > 0) t
   join d using (doc_id) left join gone g on g.doc_id = t.doc_id and g.i = t.i),
 kept as (
   select doc_id, count(*) as n, count_if(gone) as r, string_agg(w, ' ' order by i) filter (where not gone) as k from marked group by 1)
-select doc_id, coalesce(n, 0)::bigint as n_words, coalesce(r, 0)::bigint as n_removed, sha256(coalesce(k, '')) as kept_sha256
-from d left join kept using (doc_id)"""
+select doc_id, coalesce(kept.n, 0)::bigint as n_words, coalesce(r, 0)::bigint as n_removed, sha256(coalesce(k, '')) as kept_sha256, coalesce(longest.n, 0)::bigint as longest
+from d left join kept using (doc_id) left join longest using (doc_id)"""
