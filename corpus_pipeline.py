@@ -8,11 +8,9 @@ its predecessor wrote.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from panelyard.llm import jaccard, mixing, packing, quality_rules, simhash, substring_dedup
+from panelyard.llm import mixing, near_copies, packing, quality_rules, substring_dedup
 from panelyard.llm._shared import store, table
-from panelyard.llm.components import components
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,21 +21,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, the one with the smallest doc_id.
 
-    Two documents are linked if their fingerprints differ in three bits at most or their
-    five-word shingles have a Jaccard similarity of 0.8 or above.  Rows with a null doc_id belong to no class and stay.
+    Two texts are linked if the SimHash fingerprints of their five-word shingles differ in three bits at
+    most, or if their MinHash signatures put their Jaccard similarity at about 0.8 or above.
     """
-    near = simhash.near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
-    go = components(near.union(jaccard.links(docs))).filter("node <> component").select(F.col("node").alias("_gone"))
-    left = docs.join(store(go, "gone").hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti")
-    return left.select(*docs.columns)
+    return near_copies.kept(docs)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of fifty words and more that an earlier document has."""
-    cut = substring_dedup.remove_repeats(docs)
-    changed = F.col("n_removed") > 0
-    out = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return substring_dedup.cut_texts(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
