@@ -18,12 +18,24 @@ def test_blocks(page, texts):
 
 def test_held_out_pages():
     rng, right, total, whole = np.random.default_rng(1234), 0, 0, 0
-    pages = [X.labelled(*X.make_page(rng)) for _ in range(200)]
+    pages = [X.labelled(*X.make_page(rng, "named")) for _ in range(200)]
     for (_, y), got in zip(pages, X.label([p for p, _ in pages], X.model(), X.Vectors()), strict=True):
         right, total, whole = right + sum(got == np.array(y, bool)), total + len(y), whole + all(got == np.array(y, bool))
     assert right >= 0.985 * total and whole >= 0.85 * len(pages)
 
 
+@pytest.mark.parametrize("family,least", [("named", 0.96), ("bare", 0.9), ("cells", 0.93), ("talk", 0.98)])
+def test_layouts_never_seen(family, least):
+    """A network trained without a family of layouts, on fresh pages of it."""
+    assert X.accuracy(X.model(without=family), family) >= least
+
+
+def test_words_of_long_blocks_count():
+    path = (("div", ()),)
+    one, other = (X.Vectors()([(" ".join([w] * 40), path, 0)])[0] for w in ("alpha", "beta"))
+    assert (one != other).any() and one[X.PATH:X.PATH + X.WORD].sum() == pytest.approx(1)
+
+
 def test_gradient():
     rng = np.random.default_rng(0)
     w = {k: rng.normal(0, 0.3, v.shape).astype(np.float64) for k, v in X.model().items()}
