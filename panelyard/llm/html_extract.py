@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 PATH, WORD, SHAPE, HIDDEN = 96, 32, 8, 16
 #: Composed pages the network is fitted on, and passes over them.
-PAGES, EPOCHS, SEED = 1000, 10, 5
+PAGES, EPOCHS, SEED = 1500, 10, 5
 
 # Elements of HTML by how they lay out text.
 BLOCKS = frozenset("""address article aside blockquote body button caption dd details dialog dir div dl dt fieldset figcaption figure footer
