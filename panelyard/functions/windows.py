@@ -36,6 +36,11 @@ def forward_any(flag: Column, k: int) -> Column:
     return F.max(flag.cast("int")).over(ahead(k))
 
 
+def rows_ahead(k: int) -> Column:
+    """How many of the next k rows there are."""
+    return F.count(F.lit(1)).over(ahead(k))
+
+
 def filled(c: Column) -> Column:
     """Nulls take the last value before them, else the first after."""
     w = by_entity()

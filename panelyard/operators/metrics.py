@@ -94,6 +94,16 @@ def multiclass(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return per.select("label", "support", "tp", "n_predicted", "f1", F.lit((whole.t or 0) / s).alias("accuracy"), F.lit(whole.m).alias("macro_f1"), F.lit((whole.w or 0.0) / s).alias("weighted_f1"))
 
 
+def one_vs_rest(df: DataFrame, actual: str, probabilities: str) -> DataFrame:
+    """(label, n_positive, auc) for every class of ``probabilities`` (a map from class to probability), ties counted half; null where a side is missing."""
+    rows = df.filter(F.col(actual).isNotNull()).select(F.col(actual).alias("a"), F.explode(probabilities).alias("label", "score"))
+    each = settled(rows.groupBy("label", F.col("score").cast("double").alias("score")).agg(F.count_if(F.col("a") == F.col("label")).alias("pos"), F.count_if(F.col("a") != F.col("label")).alias("neg")))
+    up = running(each, "score", ["pos", "neg"], ["label"])
+    whole = each.groupBy("label").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    share = _d("pos") * (_d("cum_neg") - _d("neg") / 2)
+    return up.join(whole, "label").groupBy("label").agg(F.max("p").alias("n_positive"), (F.sum(share) / F.nullif(F.max(_d("p") * _d("n")), F.lit(0.0))).alias("auc"))
+
+
 def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
 

@@ -16,6 +16,8 @@ from panelyard.functions import scalar as S
 from panelyard.operators import metrics
 
 SEED, CAP, LEAST_POSITIVES = 42, 150_000, 50
+#: Trees of a forest and their depth.
+TREES, DEPTH = 120, 14
 ALGORITHMS = ("logistic_regression", "random_forest", "gradient_boosting")
 
 
@@ -40,7 +42,7 @@ def _classifier(algorithm: str, trees: int, multi: bool = False):
     if algorithm == "logistic_regression":
         return LogisticRegression(**common, maxIter=100, regParam=1e-4)
     if algorithm == "random_forest":
-        return RandomForestClassifier(**common, numTrees=trees, maxDepth=10, seed=SEED)
+        return RandomForestClassifier(**common, numTrees=trees, maxDepth=DEPTH, seed=SEED)
     if multi:
         raise ValueError("boosting is for two classes")
     return GBTClassifier(**common, maxIter=max(5, trees // 4), maxDepth=5, seed=SEED)
@@ -69,7 +71,7 @@ class Bundle:
         return out.select("_row.*", F.col("_p").alias(name))
 
 
-def train(train_df: DataFrame, valid_df: DataFrame, target: str, features: list[str], algorithm: str = "logistic_regression", trees: int = 40, calibrate: str = "isotonic") -> Bundle:
+def train(train_df: DataFrame, valid_df: DataFrame, target: str, features: list[str], algorithm: str = "logistic_regression", trees: int = TREES, calibrate: str = "isotonic") -> Bundle:
     """Fit on the training rows, classes weighted evenly, and calibrate on the validation rows."""
     # The stages fit one after the other, each over all rows: what they read is kept meanwhile.
     given = _cast(train_df, features, F.col(target).cast("double").alias("label")).persist()
@@ -108,7 +110,7 @@ def evaluate(bundle: Bundle, df: DataFrame) -> DataFrame:
     return one
 
 
-def compare(df: DataFrame, target: str, features: list[str], key: list[str], algorithms=ALGORITHMS, cap: int = CAP, trees: int = 40, registry=None) -> list[dict]:
+def compare(df: DataFrame, target: str, features: list[str], key: list[str], algorithms=ALGORITHMS, cap: int = CAP, trees: int = TREES, registry=None) -> list[dict]:
     """Every algorithm trained, calibrated and tested; best by test PR-AUC first, with uplift over the logistic baseline.
 
     Targets with fewer than LEAST_POSITIVES positive training rows are skipped.
@@ -140,14 +142,15 @@ class StateBundle:
     features: list[str]
 
     def score(self, df: DataFrame) -> DataFrame:
-        """``df`` with predicted_state and its probability."""
+        """``df`` with predicted_state, its probability as confidence, and the probabilities of all states."""
         given = _cast(df, self.features, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
         out = self.model.transform(given)
         names = F.array(*[F.lit(x) for x in self.labels])
-        return out.select("_row.*", F.element_at(names, F.col("prediction").cast("int") + 1).alias("predicted_state"), F.array_max(vector_to_array("probability")).alias("confidence"))
+        return out.select("_row.*", F.element_at(names, F.col("prediction").cast("int") + 1).alias("predicted_state"), F.array_max(vector_to_array("probability")).alias("confidence"),
+                          F.map_from_arrays(names, vector_to_array("probability")).alias("state_probabilities"))
 
 
-def train_states(df: DataFrame, features: list[str], algorithm: str = "random_forest", target: str = "next_state", trees: int = 20) -> StateBundle:
+def train_states(df: DataFrame, features: list[str], algorithm: str = "random_forest", target: str = "next_state", trees: int = TREES) -> StateBundle:
     """A model of the next state over all classes, rows weighted by inverse class frequency."""
     rows = df.filter((F.col(f"{target}_complete") == 1) & F.col(target).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(target).count().collect()}
@@ -161,6 +164,30 @@ def train_states(df: DataFrame, features: list[str], algorithm: str = "random_fo
     return StateBundle(model, list(indexer.labels), list(features))
 
 
+def best_states(train_df: DataFrame, valid_df: DataFrame, features: list[str], algorithms=("logistic_regression", "random_forest"), target: str = "next_state", trees: int = TREES) -> tuple[StateBundle, dict[str, float]]:
+    """The model with the best macro F1 on the validation rows, and every algorithm's."""
+    held = valid_df.filter((F.col(f"{target}_complete") == 1) & F.col(target).isNotNull())
+    found = {}
+    for algorithm in algorithms:
+        bundle = train_states(train_df, features, algorithm, target, trees)
+        row = metrics.multiclass(bundle.score(held), target, "predicted_state").select("macro_f1").first()
+        found[algorithm] = (row.macro_f1 if row else 0.0, bundle)
+    best = max(found, key=lambda a: found[a][0])
+    return found[best][1], {a: f for a, (f, _) in found.items()}
+
+
+def spread(bundles: list[Bundle], df: DataFrame, key: list[str]) -> DataFrame:
+    """(key, mean, low, high): the models' mean probability with a band of two standard deviations, held to 0 and 1."""
+    each = [f"_s{i}" for i in range(len(bundles))]
+    for name, bundle in zip(each, bundles, strict=True):
+        df = bundle.score(df, name)
+    n = len(each)
+    mean = sum((F.col(c) for c in each), F.lit(0.0)) / n
+    apart = F.sqrt(sum(((F.col(c) - F.col("mean")) ** 2 for c in each), F.lit(0.0)) / n)
+    rows = df.select(*key, *each, mean.alias("mean")).withColumn("apart", apart)
+    return rows.select(*key, "mean", S.clip(F.col("mean") - 2 * F.col("apart"), 0, 1).alias("low"), S.clip(F.col("mean") + 2 * F.col("apart"), 0, 1).alias("high"))
+
+
 def importances(bundle: Bundle) -> list[tuple[str, float]]:
     """Features by importance: a tree model's own, or absolute standardised coefficients."""
     last = bundle.model.stages[-1]

@@ -12,18 +12,27 @@ from pyspark.sql import functions as F
 
 from panelyard.sources.tables import settled
 
-#: Ranges a table (or group) is cut into.
-PARTS = 64
+#: Rows of a range, about, and ranges that a table is cut into at least.
+ROWS, PARTS = 250_000, 16
 
 
-def running(df: DataFrame, order: str, sums: list[str], by: list[str] = (), parts: int = PARTS) -> DataFrame:
+def ranges(df: DataFrame) -> int:
+    """How many ranges ``df`` is cut into: more for a larger table."""
+    return max(PARTS, -(-df.count() // ROWS))
+
+
+def _edges(order, parts: int):
+    """Approximate quantiles that cut an order into ``parts`` ranges, ten times finer than they are wide."""
+    return F.percentile_approx(order, F.array(*[F.lit((i + 1) / parts) for i in range(parts - 1)]), 10 * max(parts, 100))
+
+
+def running(df: DataFrame, order: str, sums: list[str], by: list[str] = (), parts: int | None = None) -> DataFrame:
     """Adds ``cum_<c>`` for each of ``sums``: its sum over rows up to and with this one, by rising ``order``.
 
     ``order`` is different in every row of a group.
     """
     by = list(by)
-    probabilities = F.array(*[F.lit((i + 1) / parts) for i in range(parts - 1)])
-    edges = df.groupBy(*by).agg(F.percentile_approx(order, probabilities, 1000).alias("_edges"))
+    edges = df.groupBy(*by).agg(_edges(order, parts or ranges(df)).alias("_edges"))
     if by:
         edges = edges.select(*[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], "_edges")
         on = F.lit(True)
@@ -67,11 +76,10 @@ def long(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:
     return df.select(*keep, F.inline(rows))
 
 
-def numbered(df: DataFrame, order: list[str], name: str, parts: int = PARTS) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], name: str, parts: int | None = None) -> DataFrame:
     """Adds the row's number, from 0, in the order of ``order``, whose first column is a number, date or time."""
     first = F.unix_timestamp(F.col(order[0]).cast("timestamp")).cast("double") if dict(df.dtypes)[order[0]] in ("date", "timestamp", "timestamp_ntz") else F.col(order[0]).cast("double")
-    probabilities = F.array(*[F.lit((i + 1) / parts) for i in range(parts - 1)])
-    edges = sorted(set(df.agg(F.percentile_approx(first, probabilities, 1000)).first()[0] or []))
+    edges = sorted(set(df.agg(_edges(first, parts or ranges(df))).first()[0] or []))
     at = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < first)) if edges else F.lit(0)
     cut = df.withColumn("_range", F.when(first.isNull(), -1).otherwise(at))
     sizes = {r[0]: r[1] for r in cut.groupBy("_range").count().collect()}
@@ -83,7 +91,7 @@ def numbered(df: DataFrame, order: list[str], name: str, parts: int = PARTS) ->
     return cut.withColumn(name, start + place).drop("_range")
 
 
-def top(df: DataFrame, by: list[str], order: list, k: int, rank: str = "_rank", shares: int = PARTS) -> DataFrame:
+def top(df: DataFrame, by: list[str], order: list, k: int, rank: str = "_rank", shares: int = 64) -> DataFrame:
     """The first ``k`` rows of each group, ranked from 1: first of every share of the group, then of what they leave."""
     spread = df.withColumn("_share", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(shares)))
     some = spread.withColumn(rank, F.row_number().over(Window.partitionBy(*by, "_share").orderBy(*order))).filter(F.col(rank) <= k)

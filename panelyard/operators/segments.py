@@ -32,6 +32,27 @@ def servicer_features(panel: DataFrame) -> DataFrame:
     return panel.join(by, ["servicer_name", "reporting_month"], "left").select("loan_id", "reporting_month", "servicer_name", "servicer_delinquency_rate", "servicer_records")
 
 
+def age_buckets(panel: DataFrame, edges: tuple[int, ...] = (12, 24, 36, 60, 120)) -> DataFrame:
+    """(age_bucket, n_records, default_rate): months since origination in bands, closed above; null ages are ``unknown``."""
+    age, low, bucket = F.col("loan_age_months"), 0, F.when(F.col("loan_age_months").isNull(), "unknown")
+    for edge in edges:
+        bucket, low = bucket.when(age <= edge, f"{low}-{edge}"), edge + 1
+    rows = panel.select(bucket.otherwise(f"{low}+").alias("age_bucket"), F.col("default_flag").cast("int").cast("double").alias("d"))
+    return rows.groupBy("age_bucket").agg(F.count("*").alias("n_records"), F.avg("d").alias("default_rate"))
+
+
+def encodings(static: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, code, n, share): a code for each category, from 0 by falling count, then value; nulls come last as ``?``.
+
+    Categories are few, whatever the rows.
+    """
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("?")).alias("value")) for c in columns])
+    counts = static.select(F.inline(rows)).groupBy("column", "value").agg(F.count("*").alias("n"))
+    by = Window.partitionBy("column")
+    code = F.row_number().over(by.orderBy((F.col("value") == "?").cast("int"), F.desc("n"), "value")) - 1
+    return counts.select("column", "value", code.alias("code"), "n", (F.col("n") / F.sum("n").over(by)).alias("share"))
+
+
 def transitions(panel: DataFrame) -> DataFrame:
     """(from_state, to_state, n, share of the from-state) over consecutive rows of an entity."""
     w = Window.partitionBy("loan_id").orderBy("reporting_month")
@@ -47,8 +68,9 @@ def latest(panel: DataFrame) -> DataFrame:
 
 
 def as_of(panel: DataFrame, asked: DataFrame) -> DataFrame:
-    """For each (loan_id, as_of) the entity's last row not after it."""
-    joined = asked.join(panel, "loan_id", "left").filter(F.col("reporting_month").isNull() | (F.col("reporting_month") <= F.col("as_of")))
+    """For each (loan_id, as_of) the entity's last row not after it; nulls where there is none."""
+    known = panel.select(F.col("loan_id").alias("_loan"), "reporting_month", "current_status", "current_balance")
+    joined = asked.join(known, (F.col("loan_id") == F.col("_loan")) & (F.col("reporting_month") <= F.col("as_of")), "left")
     return joined.groupBy("loan_id", "as_of").agg(F.max_by(F.struct("reporting_month", "current_status", "current_balance"), F.col("reporting_month")).alias("_r")).select("loan_id", "as_of", "_r.*")
 
 

@@ -42,8 +42,11 @@ def loan_detail(static: DataFrame, panel: DataFrame, loan_id: str | None = None)
     return static.join(last, "loan_id", "left")
 
 
-def anomalies(scored: DataFrame, min_score: float = 0.0, exception_type: str | None = None, **paging) -> DataFrame:
+def anomalies(scored: DataFrame, min_score: float = 0.0, exception_type: str | None = None, reviewed: bool | None = None, reviews: DataFrame | None = None, **paging) -> DataFrame:
+    """A page of anomalies; ``reviewed`` keeps those with, or without, a row in ``reviews`` (loan_id, reporting_month)."""
     rows = scored.filter(F.col("anomaly_score") >= min_score)
+    if reviewed is not None:
+        rows = rows.join(reviews, ["loan_id", "reporting_month"], "left_semi" if reviewed else "left_anti")
     if exception_type is not None:
         rows = rows.filter(F.col("exception_type") == exception_type)
     cols = ["loan_id", "reporting_month", "anomaly_score", "exception_type", "reason"]

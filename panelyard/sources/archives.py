@@ -2,32 +2,44 @@
 
 from __future__ import annotations
 
-import io
+import hashlib
 import json
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import csv, fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from panelyard.plans import contract as C
+from panelyard.sources import sinks
 
 
 def archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
-    """(path, length, content) of every archive under ``path``; content is read only if a query asks for it."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    """(path, length) of every archive under ``path``; nothing is read but the listing."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length")
+
+
+def _opened(path: str):
+    """The file as a stream that can be moved in, from any store that Arrow knows; a path without a scheme is a local one."""
+    files, at = fs.FileSystem.from_uri(path) if ":" in path.split("/", 1)[0] else (fs.LocalFileSystem(), path)
+    return files.open_input_file(at)
 
 
 def describe(spark: SparkSession, path: str) -> DataFrame:
-    """(path, member, compressed_bytes, uncompressed_bytes, ratio); an archive without exactly one member has ``problem`` set."""
+    """(path, member, compressed_bytes, uncompressed_bytes, ratio); an archive without exactly one member has ``problem`` set.
+
+    Only the directory at an archive's end is read, in the task.
+    """
     def rows(batches):
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for name in batch.column(0).to_pylist():
                 try:
-                    members = [m for m in zipfile.ZipFile(io.BytesIO(content)).infolist() if not m.is_dir()]
+                    with _opened(name) as f:
+                        members = [m for m in zipfile.ZipFile(f).infolist() if not m.is_dir()]
                     problem = None if len(members) == 1 else f"expected one member, found {len(members)}"
                 except zipfile.BadZipFile as e:
                     members, problem = [], str(e)
@@ -35,7 +47,7 @@ def describe(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([{"path": name, "member": m and m.filename, "compressed_bytes": m and m.compress_size, "uncompressed_bytes": m and m.file_size, "problem": problem}], schema)
 
     schema = pa.schema([("path", pa.string()), ("member", pa.string()), ("compressed_bytes", pa.int64()), ("uncompressed_bytes", pa.int64()), ("problem", pa.string())])
-    found = archives(spark, path).select("path", "content").mapInArrow(rows, "path string, member string, compressed_bytes long, uncompressed_bytes long, problem string")
+    found = archives(spark, path).select("path").mapInArrow(rows, "path string, member string, compressed_bytes long, uncompressed_bytes long, problem string")
     return found.withColumn("ratio", F.col("uncompressed_bytes") / F.nullif(F.col("compressed_bytes"), F.lit(0)))
 
 
@@ -79,24 +91,34 @@ class ZipReader(DataSourceReader):
             return [_Archive(p) for p in sorted(glob.glob(f"{self.options['path']}/*.zip"))]
         return [_Archive(r.path) for r in archives(spark, self.options["path"]).select("path").orderBy("path").collect()]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        """Rows of the archive's one member, inflated as a stream; a zip cannot be split, so a task reads a whole one."""
-        want = [int(x) for x in self.options["positions"].split(",")]
-        sep, width = self.options.get("sep", "|"), int(self.options["width"])
-        with zipfile.ZipFile(partition.path.removeprefix("file:")) as z:
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        """The archive's one member, inflated and parsed as a stream of batches; a zip cannot be split, so a task reads a whole one."""
+        want = [f"c{x}" for x in self.options["positions"].split(",")]
+        names = [f"c{i}" for i in range(int(self.options["width"]))]
+        with _opened(partition.path) as f, zipfile.ZipFile(f) as z:
             members = [m for m in z.infolist() if not m.is_dir()]
             if len(members) != 1:
                 raise ValueError(f"{partition.path}: expected one member, found {len(members)}")
-            with z.open(members[0]) as f:
-                for line in io.TextIOWrapper(f, encoding="utf-8", errors="replace"):
-                    parts = line.rstrip("\r\n").split(sep)
-                    if len(parts) != width:
-                        raise ValueError(f"{partition.path}: a record has {len(parts)} fields, not {width}")
-                    yield tuple(parts[i] for i in want)
+            if not members[0].file_size:
+                return
+            with z.open(members[0]) as lines:
+                batches = csv.open_csv(
+                    lines, csv.ReadOptions(column_names=names, block_size=4 << 20), csv.ParseOptions(delimiter=self.options.get("sep", "|"), quote_char=False),
+                    csv.ConvertOptions(include_columns=list(dict.fromkeys(want)), column_types=dict.fromkeys(names, pa.binary()), strings_can_be_null=False))
+                for batch in batches:
+                    yield pa.RecordBatch.from_arrays([_text(batch.column(c)) for c in want], self.names)
+
+
+def _text(column: pa.Array) -> pa.Array:
+    """UTF-8, with what is none replaced."""
+    try:
+        return column.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([x.decode(errors="replace") for x in column.to_pylist()], pa.string())
 
 
 class ZipSource(DataSource):
-    """``spark.read.format("zip_delimited")``: single-member archives on a path that every executor mounts."""
+    """``spark.read.format("zip_delimited")``: single-member archives in a store that executors reach."""
 
     @classmethod
     def name(cls) -> str:
@@ -132,9 +154,17 @@ def verify_contract(lines: DataFrame, column: str = "value", sep: str = "|") ->
 
 
 def manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(name, sha256, length) of every file, hashed where it is read."""
-    files = archives(spark, path, pattern)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"), F.col("length"))
+    """(name, sha256, length) of every file, read in pieces and hashed in the task."""
+    def rows(batches):
+        for batch in batches:
+            for name, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                digest = hashlib.sha256()
+                with _opened(name) as f:
+                    while piece := f.read(8 << 20):
+                        digest.update(piece)
+                yield pa.RecordBatch.from_pylist([{"name": name.rsplit("/", 1)[-1], "sha256": digest.hexdigest(), "length": length}])
+
+    return archives(spark, path, pattern).mapInArrow(rows, "name string, sha256 string, length long")
 
 
 def verify_manifest(current: DataFrame, stored: DataFrame | None) -> tuple[str, DataFrame]:
@@ -149,3 +179,16 @@ def verify_manifest(current: DataFrame, stored: DataFrame | None) -> tuple[str,
 def read_json(path: str) -> dict:
     with open(path) as f:
         return json.load(f)
+
+
+def add_snapshot(raw: DataFrame, path: str, snapshot: str) -> bool:
+    """Keep ``raw`` as a snapshot under ``path``, once: a finished snapshot is never written again.  Whether it was written."""
+    return sinks.once(raw, f"{path}/snapshot_id={snapshot}")
+
+
+def snapshot(spark: SparkSession, path: str, wanted: str | None = None) -> DataFrame:
+    """The rows of a snapshot, the last by name if none is wanted, with its snapshot_id; only its folder is read."""
+    rows = spark.read.parquet(path).withColumn("snapshot_id", F.col("snapshot_id").cast("string"))
+    if wanted is not None:
+        return rows.filter(F.col("snapshot_id") == wanted)
+    return rows.filter(F.col("snapshot_id") == rows.agg(F.max("snapshot_id")).scalar())

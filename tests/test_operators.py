@@ -2,14 +2,17 @@ import datetime as dt
 import importlib
 import sys
 import zipfile
+from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelyard.operators import anomaly, explain, models, scenario, segments, serve, survival
+from panelyard.operators import anomaly, explain, metrics, models, scenario, segments, serve, survival
 from panelyard.operators.registry import Registry
 from panelyard.plans import contract as C
+from panelyard.plans.queries import ORACLES, QUERIES
 from panelyard.sources import archives, sinks
 from panelyard.streaming import panel as streams
 from panelyard.streaming.runs import finish
@@ -34,22 +37,22 @@ def bundle(labelled):
 def test_models(labelled, bundle, tmp_path):
     out = bundle.score(labelled)
     assert out.filter("score < 0 or score > 1 or score is null").isEmpty()
-    registry = Registry(str(tmp_path / "models"))
+    registry = Registry(labelled.sparkSession, f"file://{tmp_path}/models")
     found = models.compare(labelled, "y", ["x", "z"], ["loan_id"], ("logistic_regression", "random_forest"), trees=5, registry=registry)
     assert {f["algorithm"] for f in found} == {"logistic_regression", "random_forest"} and found[0]["pr_auc"] >= found[1]["pr_auc"] and found[0]["roc_auc"] > 0.8
-    assert [m["version"] for m in registry.models()] == ["v1", "v2"] and registry.resolve("y_model", "staging") == "v2" and registry.resolve("y_model") == "v2"
-    again = registry.get("y_model", "v1").score(labelled).select("loan_id", "score")
-    assert again.count() == 900 and registry.get("y_model", "v1") is registry.get("y_model", "v1")
-    best = "v1" if found[0]["algorithm"] == "logistic_regression" else "v2"
-    other = "v2" if best == "v1" else "v1"
-    assert registry.promote("y_model", best)["promoted"] and not registry.promote("y_model", other, min_uplift=0.5)["promoted"]
-    assert registry.resolve("y_model") == best and registry.promote("y_model", other, require_uplift=False)["previous_production"] == best
+    assert sorted(tuple(r) for r in registry.standing().select("version", "stage").collect()) == [(1, "staging"), (2, "staging")]
+    assert registry.find("y_model", "staging") == 2 and registry.find("y_model") == 2
+    again = registry.load("y_model", 1).score(labelled).select("loan_id", "score")
+    assert again.count() == 900 and registry.load("y_model", 1) is registry.load("y_model", 1)
+    best = 1 if found[0]["algorithm"] == "logistic_regression" else 2
+    assert registry.put_up("y_model", best).granted and not registry.put_up("y_model", 3 - best, gain=0.5).granted
+    assert registry.find("y_model") == best and registry.put_up("y_model", 3 - best, gain=None).holder == best
+    assert {r.version: r.stage for r in registry.standing().collect()} == {best: "archived", 3 - best: "production"} and registry.find("y_model") == 3 - best
+    assert registry.put_up("y_model", best, gain=None).granted and registry.find("y_model") == best and registry.events().count() == 5
     with pytest.raises(KeyError):
-        registry.promote("y_model", "v9")
+        registry.put_up("y_model", 9)
     with pytest.raises(KeyError):
-        registry.resolve("none")
-    registry.reset()
-    assert registry.models() == []
+        registry.find("none")
 
 
 def test_platt_and_few_positives(labelled):
@@ -121,8 +124,8 @@ def test_segments(spark):
     df = spark.createDataFrame([("a", dt.date(2020, 1, 1), "Current", 1.0), ("a", dt.date(2020, 2, 1), "Delinquent", 2.0), ("b", dt.date(2020, 3, 1), "Current", 3.0)], "loan_id string, reporting_month date, current_status string, current_balance double")
     assert [tuple(r) for r in segments.transitions(df).collect()] == [("Current", "Delinquent", 1, 1.0)]
     assert {r.loan_id: r.current_balance for r in segments.latest(df).collect()} == {"a": 2.0, "b": 3.0}
-    asked = spark.createDataFrame([("a", dt.date(2020, 1, 15)), ("z", dt.date(2020, 1, 1))], "loan_id string, as_of date")
-    assert {r.loan_id: r.current_status for r in segments.as_of(df, asked).collect()} == {"a": "Current", "z": None}
+    asked = spark.createDataFrame([("a", dt.date(2020, 1, 15)), ("b", dt.date(2020, 1, 1)), ("z", dt.date(2020, 1, 1))], "loan_id string, as_of date")
+    assert {r.loan_id: r.current_status for r in segments.as_of(df, asked).collect()} == {"a": "Current", "b": None, "z": None}
 
 
 def test_serving(spark):
@@ -162,7 +165,13 @@ def test_archives(spark, tmp_path):
     assert archives.corpus_summary(archives.describe(spark, str(zips)).filter("problem is null")).first().n_archives == 2
     (zips / "bad.zip").unlink()
     read = archives.read_zips(spark, str(zips), ("LOAN_ID", "CURRENT_UPB"))
-    assert read.count() == 10 and read.first().CURRENT_UPB == "5.5"
+    assert read.count() == 10 and read.first().CURRENT_UPB == "5.5" and read.first().LOAN_ID == "100000000"
+    with zipfile.ZipFile(tmp_path / "short.zip", "w") as z:
+        z.writestr("one.csv", lines[0] + "\n" + "a|b\n")
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "short.zip").rename(tmp_path / "bad" / "short.zip")
+    with pytest.raises(Exception, match="113"):
+        archives.read_zips(spark, str(tmp_path / "bad"), ("LOAN_ID",)).count()
     assert archives.verify_contract(spark.createDataFrame([(x,) for x in lines], "value string")) == []
     assert len(archives.verify_contract(spark.createDataFrame([("a||c",), ("|1|22",)], "value string"))) == 4
     base = archives.manifest(spark, str(zips))
@@ -205,13 +214,59 @@ def test_streams(spark, tmp_path):
     assert {r.loan_id: r.bal for r in streams.current(spark, str(tmp_path / "up"), ["loan_id"], "m").collect()} == {"a": 2.5, "b": 1.0}
 
 
-def test_registered_queries(spark, sf):
+def test_entry(spark):
     entry = importlib.import_module("__spark_entry__")
     assert entry.entry(spark).count() > 0
-    queries, oracles = entry.queries(), entry.oracle_sql()
-    assert set(oracles) <= set(queries) and len(queries) > 80
-    for name in ("population_monthly", "rule_scores", "features_temporal", "drift_report", "stream_daily"):
-        assert queries[name](spark, sf).count() > 0
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) > 100
+
+
+@pytest.fixture(scope="module")
+def tables(sf):
+    db = duckdb.connect()
+    for p in Path(sf).glob("*.parquet"):
+        db.execute(f"create view {p.stem} as select * from '{p}'")
+    return db
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_registered_query(spark, sf, tables, name):
+    """Every query ends, and has as many rows and the columns of its SQL."""
+    got = QUERIES[name](spark, sf)
+    rows = got.count()
+    if name in ORACLES:
+        want = tables.execute(ORACLES[name])
+        assert sorted(got.columns) == sorted(c[0] for c in want.description) and rows == len(want.fetchall())
+    else:
+        assert rows > 0
+
+
+def test_advice_is_for_every_exception():
+    assert set(anomaly.RECOMMENDATIONS) == {t.exception_type for t in C.RULES.values()} | {"statistical_outlier"}
+
+
+def test_snapshots(spark, tmp_path):
+    at = f"{tmp_path}/snapshots"
+    one, two = (spark.createDataFrame([(i, n)], "i int, n string") for i, n in ((1, "a"), (2, "b")))
+    assert archives.add_snapshot(one, at, "2024-01") and archives.add_snapshot(two, at, "2024-02") and not archives.add_snapshot(two, at, "2024-01")
+    assert [tuple(r) for r in archives.snapshot(spark, at).collect()] == [(2, "b", "2024-02")] and archives.snapshot(spark, at, "2024-01").first().i == 1
+
+
+def test_bands_and_best_states(labelled, bundle):
+    parts = [models.load_split(labelled, s, "y", ["loan_id"]) for s in ("train", "validation")]
+    other = models.train(*parts, "y", ["x", "z"], "random_forest", trees=5)
+    rows = models.spread([bundle, other], labelled, ["loan_id"]).collect()
+    assert len(rows) == 900 and all(0 <= r.low <= r["mean"] <= r.high <= 1 for r in rows) and any(r.low < r.high for r in rows)
+    best, found = models.best_states(labelled.filter("split = 'train'"), labelled.filter("split = 'validation'"), ["x", "z"], trees=5)
+    assert set(found) == {"logistic_regression", "random_forest"} and max(found.values()) > 0.3
+    auc = {r.label: r.auc for r in metrics.one_vs_rest(best.score(labelled), "next_state", "state_probabilities").collect()}
+    assert set(auc) == {"A", "B", "C"} and auc["A"] > 0.7 and auc["B"] > 0.7
+
+
+def test_reviewed_anomalies(spark):
+    rows = spark.createDataFrame([("a", 1, 0.9, "x", ""), ("b", 1, 0.8, "x", ""), ("c", 1, 0.1, "x", "")], "loan_id string, reporting_month int, anomaly_score double, exception_type string, reason string")
+    done = rows.filter("loan_id = 'a'").select("loan_id", "reporting_month")
+    assert [r.loan_id for r in serve.anomalies(rows, 0.5, reviewed=True, reviews=done).collect()] == ["a"]
+    assert [r.loan_id for r in serve.anomalies(rows, 0.5, reviewed=False, reviews=done).collect()] == ["b"]
 
 
 def test_entry_imports_without_the_text_operators(monkeypatch):
