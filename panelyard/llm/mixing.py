@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import store, words
+from ._shared import store, unused, words
 from .ranking import rank_in_groups
 
 #: No document is taken more often.
@@ -25,31 +25,36 @@ MOST = 3
 CAPACITY = 1 << 15
 
 
+def numbered(sizes: DataFrame) -> DataFrame:
+    """``sizes`` with ``at``: the place of each source by code point, from 0, null last.  Ranges of sources are numbered apart."""
+    order = F.col("source").asc_nulls_last()
+    dealt = store(sizes.repartitionByRange(order).withColumn("part", F.spark_partition_id()), "sources")
+    counts = dealt.groupBy("part").agg(F.count("*").alias("n"))
+    # As many rows as partitions.
+    starts = counts.select(F.col("part").alias("_p"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    return dealt.withColumn("_place", place).join(starts, F.col("part") == F.col("_p")).select(*sizes.columns, (F.col("_start") + F.col("_place")).alias("at"))
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
     """(source, source_size, target) from (source, source_size).
 
     Sources by code point, null last, weigh ``weights`` in turn and share the sum
     of all sizes.  A target stops at ``most`` times the source's size; the excess
-    goes to the others by weight until none is above.  Filling up by weight
-    reaches the caps in the order of cap over weight, so one sorted pass over the
-    sources settles it.
+    goes to the others by weight until none is above: each round is one sum over the
+    sources, however many they are.
     """
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.col("_at") - 1) % len(weights) + 1).cast("int"))
-    every = Window.partitionBy()
-    named = Window.orderBy(F.col("source").asc_nulls_last())
-    fill = Window.orderBy("_level", "_at").rowsBetween(Window.unboundedPreceding, -1)
-    cap = F.col("source_size") * F.lit(float(most))
-    level = (
-        sizes.withColumn("_at", F.row_number().over(named)).withColumn("_w", w)
-        .withColumn("_cap", cap).withColumn("_level", F.col("_cap") / F.col("_w"))
-        .withColumn("_left", F.sum("source_size").over(every) - F.coalesce(F.sum("_cap").over(fill), F.lit(0.0)))
-        .withColumn("_open", F.sum("_w").over(every) - F.coalesce(F.sum("_w").over(fill), F.lit(0.0)))
-        # Below the first source whose cap lies above its share, all are open at that share.
-        .withColumn("_share", F.col("_left") / F.col("_open"))
-        .withColumn("_full", F.col("_level") <= F.col("_share")))
-    share = F.coalesce(F.min(F.when(~F.col("_full"), F.struct("_level", "_at", "_share"))).over(every)["_share"], F.lit(float("inf")))
-    return level.withColumn("_final", share).select(
-        "source", "source_size", F.least("_cap", F.col("_w") * F.col("_final")).alias("target"))
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("at") % len(weights) + 1).cast("int"))
+    rows = store(numbered(sizes).select("source", "source_size", w.alias("w"), (F.col("source_size") * F.lit(float(most))).alias("cap")), "weights")
+    total, open_ = rows.agg(F.sum("source_size"), F.sum("w")).first()
+    share = (total or 0) / (open_ or 1)
+    while True:
+        full = F.col("w") * F.lit(share) > F.col("cap")
+        spent, open_ = rows.agg(F.coalesce(F.sum(F.when(full, F.col("cap"))), F.lit(0.0)), F.sum(F.when(~full, F.col("w")))).first()
+        after = (total - spent) / open_ if open_ else share
+        if after <= share:
+            return rows.select("source", "source_size", F.least("cap", F.col("w") * F.lit(share)).alias("target"))
+        share = after
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = 17, capacity: int = CAPACITY) -> np.ndarray:
@@ -150,8 +155,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), seed: int = 17,
 
 
 def row_key(docs: DataFrame) -> Column:
-    """A hash of the whole row."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_key")
+    """A hash of the whole row; columns that hold maps, which have no hash, by their text."""
+    return F.xxhash64(*[F.col(f"`{c}`").cast("string") if "map<" in kind else F.col(f"`{c}`") for c, kind in docs.dtypes]).alias("row_key")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
@@ -160,12 +165,12 @@ def taken(docs: DataFrame, **options) -> DataFrame:
     Texts move once, next to their number of times.  Rows that are equal in every respect meet there: one of
     them stands for all.
     """
-    found = mix(docs, keep=True, **options).groupBy("doc_id", "row_key").agg(F.sum("times").alias("_times"), F.count("*").alias("_rows"))
-    found = store(found.filter("_times > 0").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "_times", "_rows"), "times")
+    id_, key, times, rows = unused(docs, "_id", "_key", "_times", "_rows")
+    found = mix(docs, keep=True, **options).groupBy("doc_id", "row_key").agg(F.sum("times").alias(times), F.count("*").alias(rows))
+    found = store(found.filter(F.col(times) > 0).select(F.col("doc_id").alias(id_), F.col("row_key").alias(key), times, rows), "times")
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (row_key(docs) == F.col("_key"))
-    joined = docs.join(found.hint("shuffle_hash"), same).select(*cols, "_times", "_rows")
-    several = found.filter("_rows > 1")
-    if not several.isEmpty():
-        joined = joined.filter("_rows = 1").union(joined.filter("_rows > 1").dropDuplicates())
-    return joined.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*cols)
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (row_key(docs) == F.col(key))
+    joined = docs.join(found.hint("shuffle_hash"), same).select(*cols, id_, key, times, rows)
+    if not found.filter(F.col(rows) > 1).isEmpty():
+        joined = joined.filter(F.col(rows) == 1).union(joined.filter(F.col(rows) > 1).dropDuplicates([id_, key]))
+    return joined.withColumn(rows, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*cols)

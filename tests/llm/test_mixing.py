@@ -78,3 +78,18 @@ def test_fit_is_near():
                 reach = {r + z * k for r in reach for k in range(c + 1)}
         if len(lengths) < 8:
             assert abs((lengths * take).sum() - budget) <= min(abs(r - budget) for r in reach) + lengths.min()
+
+
+def test_many_sources(spark):
+    rows = [(f"s{i}" if i % 50 else None if i else "x", (i * 37) % 101 + (5000 if i % 97 == 0 else 0)) for i in range(700)]
+    sizes = spark.createDataFrame(rows, "source string, source_size long").groupBy("source").agg(mixing.F.sum("source_size").alias("source_size"))
+    want = slow_targets({r.source: r.source_size for r in sizes.collect()})
+    got = {r.source: r.target for r in mixing.targets(sizes).collect()}
+    assert got == {s: pytest.approx(t) for s, t in want.items()}
+    assert mixing.targets(sizes.filter("false")).count() == 0
+
+
+def test_maps_and_clashing_names(spark, odd_docs):
+    docs = odd_docs.selectExpr("doc_id", "text", "source", "map('a', doc_id) as m", "h1 as _id", "row as _key", "size as _times", "1 as _rows")
+    got = mixing.taken(docs)
+    assert got.columns == docs.columns and got.count() > 0

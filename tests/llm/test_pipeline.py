@@ -99,6 +99,16 @@ def test_stages_take_odd_and_empty_tables(spark, sf, odd_docs, no_docs):
     assert docs.count() == 0
 
 
+def test_stages_take_columns_with_any_names(spark, sf, odd_docs):
+    names = ["_id", "_key", "_gone", "_times", "_rows", "_text", "n_removed", "longest", "row_key", "stratum", "h", "_w"]
+    docs = odd_docs.filter("doc_id < 13 and doc_id <> 6").selectExpr(*COLUMNS, *[f"'{n}' as {n}" for n in names], "map('a', lang) as m")
+    for name, stage in P.STAGES[:-1]:
+        out = store(stage(spark, docs, sf), name)
+        assert out.columns == docs.columns and all(r[n] == n for r in out.collect() for n in names)
+        docs = out
+    assert P.STAGES[-1][1](spark, docs, sf).count() == docs.count()
+
+
 def test_queries(spark, sf):
     want = {
         "op1_url_filter": {"page_id", "host", "path", "rule", "verdict"}, "op2_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}, "op3_license_scan": {"doc_id", "license"},
