@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -35,17 +37,25 @@ def once(df: DataFrame, path: str) -> bool:
 
 
 def csv_with_header(df: DataFrame, path: str, notes: list[str]) -> int:
-    """A single CSV file with ``#`` lines above the header; rows come to the driver one partition at a time."""
-    n = 0
-    with open(path, "w", newline="") as f:
-        f.writelines(f"# {x}\n" for x in notes)
-        import csv
-
-        out = csv.writer(f)
-        out.writerow(df.columns)
+    """A single CSV file with ``#`` lines above the header, in any store Spark writes to; rows pass the driver one partition at a time."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    text, n = io.StringIO(newline=""), 0
+    text.writelines(f"# {x}\n" for x in notes)
+    lines = csv.writer(text)
+    lines.writerow(df.columns)
+    try:
         for row in df.toLocalIterator(prefetchPartitions=False):
-            out.writerow(["" if v is None else v for v in row])
+            lines.writerow(["" if v is None else v for v in row])
             n += 1
+            if text.tell() > 1 << 20:
+                out.write(bytearray(text.getvalue().encode()))
+                text.seek(0)
+                text.truncate()
+        out.write(bytearray(text.getvalue().encode()))
+    finally:
+        out.close()
     return n
 
 

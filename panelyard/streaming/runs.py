@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelyard.sources.tables import shared_dir
 from panelyard.streaming import panel
 
 
 def finish(stream: DataFrame, mode: str = "append", **options) -> DataFrame:
     """Run a stream over what is there now and give its output as a table.
 
-    State and output go to the folder of spark.checkpoint.dir, a temporary one only where that is unset.
+    State and output go to the shared folder.
     """
     spark = stream.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
-    at = f"{root}/streams/{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{at}/out/batch={number}")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from panelyard.operators import anomaly, explain, metrics, models, scenario, segments, serve, survival
 from panelyard.operators.registry import Registry
 from panelyard.plans import contract as C
-from panelyard.plans.queries import ORACLES, QUERIES
+from panelyard.plans.exchange import ORACLES, QUERIES
 from panelyard.sources import archives, sinks
 from panelyard.streaming import panel as streams
 from panelyard.streaming.runs import finish
