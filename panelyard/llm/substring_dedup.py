@@ -134,6 +134,34 @@ def _extended(batches, length):
                 ["doc_id", "tkey", "h1", "h2", "at"])
 
 
+def _doubled(batches, length):
+    """From windows sorted by document and place: those of twice the length, where the window that follows is there too.
+
+    Holds one document's windows besides a batch.
+    """
+    names = ["doc_id", "tkey", "h1", "h2", "at"]
+    held = [np.empty(0, np.int64)] * 5
+
+    def joined(doc, tkey, one, two, at):
+        of = np.cumsum(np.r_[0, (doc[1:] != doc[:-1]) | (tkey[1:] != tkey[:-1])])
+        key = (of << 40) + at
+        next_ = np.minimum(np.searchsorted(key, key + length), len(key) - 1)
+        first = np.flatnonzero(key[next_] == key + length)
+        last = next_[first]
+        longer = [_mix(h[first].view(np.uint64), h[last].view(np.uint64)).view(np.int64) for h in (one, two)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[first], tkey[first], *longer, at[first])], names)
+
+    for batch in batches:
+        cols = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns, strict=True)]
+        other = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1])) if len(cols[0]) else []
+        cut = other[-1] + 1 if len(other) else 0
+        held = [c[cut:] for c in cols]
+        if cut:
+            yield joined(*[c[:cut] for c in cols])
+    if len(held[0]):
+        yield joined(*held)
+
+
 def covered(n: int, places: list[int], length: int) -> np.ndarray:
     """Which of ``n`` words lie in a window that starts at one of ``places``."""
     at = np.asarray(places, np.int64)
@@ -196,6 +224,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 IDS = ["doc_id", "tkey"]
+WINDOW = [*IDS, "h1", "h2", "at"]
 SENT = "doc_id long, tkey long, n_words long, digest binary, anchors array<long>"
 
 
@@ -229,10 +258,9 @@ def _levels(found: DataFrame, length: int) -> list[tuple[int, DataFrame]]:
         if now.isEmpty():
             return out
         out.append((length, now))
-        following = now.select(*IDS, (F.col("at") - length).alias("at"), F.col("h1").alias("g1"), F.col("h2").alias("g2"))
-        pairs = now.join(following, [*IDS, "at"]).select(*IDS, F.xxhash64("h1", "h2", "g1", "g2").alias("h1"), F.xxhash64("h2", "g1", "h1", "g2").alias("h2"), "at")
-        found, length = store(pairs, "pairs"), 2 * length
-        del now, following, pairs
+        placed = now.select(*WINDOW).repartition(*IDS).sortWithinPartitions(*IDS, "at")
+        found, length = store(placed.mapInArrow(partial(_doubled, length=length), "doc_id long, tkey long, h1 long, h2 long, at long"), "pairs"), 2 * length
+        del now, placed
 
 
 def repeat_levels(docs: DataFrame, length: int = 50) -> DataFrame:
