@@ -36,7 +36,7 @@ from .simhash import link, votes
 WIDTH = 5
 BANDS, ROWS = 50, 4
 MINIMA, APART = BANDS * ROWS, BANDS - 1
-ROUNDS, BUCKET = 3, 2000
+ROUNDS, BUCKET = 1, 2000
 _rng = np.random.default_rng(42)
 _A = _rng.integers(0, 1 << 31, (MINIMA, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 1 << 32, (MINIMA, 1), dtype=np.uint32)
