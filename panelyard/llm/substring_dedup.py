@@ -253,8 +253,10 @@ def _levels(found: DataFrame, length: int) -> list[tuple[int, DataFrame]]:
     """
     out, keys, spark = [], ["h1", "h2"], found.sparkSession
     while True:
-        now = store(found.join(_shared(found, keys), keys).select(*IDS, *keys, "at", "low"), "level")
-        drop(spark, found)
+        # Written apart, so that the join's own exchanges can be split where a window is in very many documents.
+        low = store(_shared(found, keys), "low")
+        now = store(found.join(low, keys).select(*IDS, *keys, "at", "low"), "level")
+        drop(spark, found, low)
         if now.isEmpty():
             return out
         out.append((length, now))
