@@ -1,6 +1,5 @@
 import random
 
-import numpy as np
 from test_simhash import slow_classes as by_distance
 
 from panelyard.llm import near_copies as N
