@@ -12,9 +12,9 @@ most ``radius`` differing bits leave some direction orthogonal to all of them, s
 each pair within the radius agrees on all kept bits of at least one table: no
 pair is lost, whatever the data.  With q = 2 there are 15 tables of about 34
 bits for radius 3.  Buckets with more than ``bucket`` distinct fingerprints are
-dealt again by the 156 tables of q = 5, which keep 51 bits or 52.  Distinct fingerprints that
-share a bucket there differ in the other 13 alone: there are 8,192 of them at most, whatever the
-data, so a task holds no more.
+dealt again by the 156 tables of q = 5, which keep about 51 bits and 43 at least.  Distinct
+fingerprints that share a bucket there differ in the other bits alone, 21 at most: whatever the
+data, a task holds no more than 2**21 of them, 64 MB.
 
 Exact copies meet before any search: only distinct fingerprints are dealt.  In a
 bucket no pairs are listed; a search through the bucket finds its linked groups,
