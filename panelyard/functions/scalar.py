@@ -71,6 +71,11 @@ def clip(c: Column, low: float, high: float) -> Column:
     return F.when(c < low, float(low)).when(c > high, float(high)).otherwise(c)
 
 
+def round_scaled(c: Column, digits: int) -> Column:
+    """``c`` times a power of ten rounded half away from zero, as SQL engines round doubles; Spark's ``round`` goes by the printed number, which can lie on the other side of a tie."""
+    return F.round(c * 10.0**digits, 0) / 10.0**digits
+
+
 def band(c: Column, bands: tuple[Sequence[float], Sequence[str]]) -> Column:
     """Left-closed, right-open bands; outside all of them or null is ``Unknown``."""
     edges, labels = bands

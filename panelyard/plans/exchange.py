@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from panelyard.functions import scalar as S
 from panelyard.operators import ingest, rules, segments, serve, survival
 from panelyard.plans import contract as C
 from panelyard.plans.oracle import chain
@@ -133,6 +135,7 @@ def batch_answers(spark, sf):
 @query(chain("""select loan_id, step::int as step, round(least(0.5, 0.0005 * (age + step - 1)), 6) as hazard, round(exp(sum(ln(1 - least(0.5, 0.0005 * (age + step - 1)))) over (partition by loan_id order by step)), 6) as survival
   from (select loan_id, max(loan_age_months) as age from mo group by 1), range(1, 13) t(step)""", "mo"))
 def hazard_projection(spark, sf):
-    """Twelve months ahead from a known hazard that rises with age."""
+    """Twelve months ahead from a known hazard that rises with age, a decimal as in its SQL: many second steps end in a five after six digits."""
     last = segments.latest(dense(spark, sf).monthly.select("loan_id", "reporting_month", "loan_age_months")).select("loan_id", "loan_age_months")
-    return rounded(survival.curves(last, lambda d: d.withColumn("score", F.least(F.lit(0.5), 0.0005 * F.col("loan_age_months"))), 12))
+    hazard = F.least(F.lit(Decimal("0.5")), F.lit(Decimal("0.0005")) * F.col("loan_age_months"))
+    return rounded(survival.curves(last, lambda d: d.withColumn("score", hazard), 12), to=S.round_scaled)

@@ -32,8 +32,8 @@ def query(sql: str | None = None):
     return put
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
+def rounded(df: DataFrame, digits: int = 6, to=F.round) -> DataFrame:
+    return df.select(*[to(F.col(c), digits).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
 def listed(names, digits: int | None = None) -> str:
@@ -609,7 +609,7 @@ h as (select *, coalesce(events::double / nullif(at_risk, 0), 0) as hazard from
 select age, leaving, events, entering, at_risk, round(hazard, 6) as hazard, round(case when max((hazard >= 1)::int) over w = 1 then 0 else exp(sum(ln(case when hazard < 1 then 1 - hazard else 1 end)) over w) end, 6) as survival,
   round(1 - case when max((hazard >= 1)::int) over w = 1 then 0 else exp(sum(ln(case when hazard < 1 then 1 - hazard else 1 end)) over w) end, 6) as incidence from h window w as (order by age rows unbounded preceding)""")
 def survival_curve(spark, sf):
-    return rounded(survival.kaplan_meier(survival.durations(dense(spark, sf).monthly)))
+    return rounded(survival.kaplan_meier(survival.durations(dense(spark, sf).monthly)), to=S.round_scaled)
 
 
 @query(chain("", "mo") + f", {_LIVES} select sum(event)::bigint as events, sum(age - entry + 1)::bigint as months, round(sum(event) / sum(age - entry + 1), 6) as hazard from lives")
